@@ -22,11 +22,8 @@ TOKEN_GAP = r"\s+"
 BLANK_TOKEN = r"^\s*$"
 
 # --- clean-up of text that goes into a labelling prompt -------------------------------
-# Unicode white space counts as a gap between words.
-UNICODE_SPACE = (
-    r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
+# White space of any script counts as a gap between words, and so do the four separators.
+ANY_SPACE = r"\p{IsWhite_Space}\x1C-\x1F"
 PROMPT_RESERVE = 400  # room for the reply on top of the words of the prompt
 BUDGET_STEP = 100  # added to the budget after every failed attempt
 

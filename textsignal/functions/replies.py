@@ -17,7 +17,7 @@ def prompt(text: Column, instruction: str) -> Column:
 
 def token_budget(prompt_text: Column, reserve: int = fixed.PROMPT_RESERVE) -> Column:
     """Number of words of the prompt, plus room for the reply."""
-    parts = F.split(prompt_text, f"[{fixed.UNICODE_SPACE}]+")
+    parts = F.split(prompt_text, f"[{fixed.ANY_SPACE}]+")
     return F.size(F.filter(parts, lambda word: word != "")) + reserve
 
 
@@ -25,7 +25,7 @@ def normalise_reply(reply: Column, echo: Column) -> Column:
     """The reply without the echoed prompt, with ` . ` closed up and the ends stripped."""
     unechoed = F.replace(reply, echo, F.lit(""))
     closed = F.replace(unechoed, F.lit(" . "), F.lit(". "))
-    ends = rf"\A[{fixed.UNICODE_SPACE}]+|[{fixed.UNICODE_SPACE}]+\z"
+    ends = rf"\A[{fixed.ANY_SPACE}]+|[{fixed.ANY_SPACE}]+\z"
     return F.regexp_replace(closed, ends, "")
 
 

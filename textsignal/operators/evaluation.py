@@ -116,18 +116,25 @@ def _curve(df: DataFrame, label: str, score: str) -> DataFrame:
 
     Rows are counted per score first, so a score that many rows share is one row afterwards.
     """
-    positive = F.col(label) > 0
-    per_score = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("threshold"))
-        .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
-        .withColumn("_down", -F.col("threshold"))
-    )
-    counted = running_total(per_score, ["_down"], {"tp": "pos", "fp": "neg"})
+    scored = df.select(
+        (F.col(label) > 0).alias("_positive"),
+        (-F.col(score).cast("double")).alias("_down"),
+    ).where(F.col("_positive").isNotNull() & F.col("_down").isNotNull())
+    per_score = scored.groupBy("_down").agg(
+        F.count_if("_positive").alias("pos"), F.count_if(~F.col("_positive")).alias("neg")
+    )
+    counted = running_total(per_score, ["_down"], {"tp": "pos", "fp": "neg"}, keys=scored)
     totals = per_score.agg(
         F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).alias("totals")
     )
-    return counted.withColumn("totals", totals.scalar()).drop("_down")
+    return counted.select(
+        (-F.col("_down")).alias("threshold"),
+        "pos",
+        "neg",
+        "tp",
+        "fp",
+        totals.scalar().alias("totals"),
+    )
 
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:

@@ -14,18 +14,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_PER_RANGE = 100
+MOST_RANGES = 400
 
 
-def _split_points(df: DataFrame, key: Column, ranges: int) -> DataFrame:
+def _split_points(keys: DataFrame, key: Column, ranges: int) -> DataFrame:
     """One row with the sorted keys that separate the ranges.
 
-    The keys come from a sample of about `SAMPLE_PER_RANGE` rows per range. A row is in the
-    sample if the hash of its key is low, so every run of the plan picks the same points.
+    The keys come from a sample of about `SAMPLE_PER_RANGE` distinct keys per range. A key is
+    in the sample if its hash is low, and the share is set by a count that does not depend on
+    the order of rows, so every run of the plan picks the same points. Neither step shuffles
+    more than one small row per task.
     """
     wanted = float(SAMPLE_PER_RANGE * ranges)
-    rows = df.agg(F.greatest(F.count("*"), F.lit(1)).alias("n"))
+    distinct = keys.agg(
+        F.greatest(F.approx_count_distinct(F.xxhash64(key)), F.lit(1)).alias("n")
+    )
     uniform = (F.xxhash64(key).cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
-    sample = df.where(uniform < F.lit(wanted) / rows.scalar()).agg(
+    sample = keys.where(uniform < F.lit(wanted) / distinct.scalar()).agg(
         F.sort_array(F.collect_set(key)).alias("keys")
     )
     size = F.size("keys")
@@ -42,34 +47,52 @@ def running_total(
     totals: dict[str, str],
     partition: Sequence[str] = (),
     ranges: int | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds one running total per entry of `totals` (new column -> column of whole numbers).
+    """Adds one running total per entry of `totals` (new column -> column of counts).
 
     Rows are ordered by the `order` columns inside each group of the `partition` columns; the
-    total includes the row itself. `partition` and `order` together must identify a row.
-    `ranges` defaults to the number of shuffle partitions, so it grows with the cluster.
+    total includes the row itself. `partition` and `order` together must identify a row, and
+    the counts must not be negative. Pass a narrow frame: with only these columns, the totals
+    of the ranges are read from the same shuffle as the rows.
+
+    `ranges` defaults to the number of shuffle partitions, so it grows with the cluster up to
+    `MOST_RANGES`. `keys` may name a cheaper frame with the same keys, repeated or not, to
+    sample from.
     """
     if ranges is None:
-        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = min(configured, MOST_RANGES)
+    keys = (df if keys is None else keys).select(*partition, *order)
     key = F.struct(*partition, *order)
-    points = _split_points(df.select(*partition, *order), key, ranges)
+    points = _split_points(keys, key, ranges)
     group = F.struct(*partition) if partition else F.lit(0)
+    others = [c for c in df.columns if c not in partition]
     placed = df.select(
-        "*", group.alias("_group"), key.alias("_key"), points.scalar().alias("_points")
+        *others, group.alias("_group"), key.alias("_key"), points.scalar().alias("_points")
     ).select(
-        *df.columns,
+        *others,
         "_group",
         F.size(F.filter("_points", lambda point: point < F.col("_key"))).alias("_range"),
     )
+    inside = (
+        Window.partitionBy("_group", "_range")
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    summed = placed.select(
+        "*",
+        *[F.sum(column).over(inside).alias(f"_in_{out}") for out, column in totals.items()],
+    )
     # At most one row per group, and one more per split point.
+    per_range = summed.groupBy("_group", "_range").agg(
+        *[F.max(f"_in_{out}").alias(f"_all_{out}") for out in totals]
+    )
     before = (
         Window.partitionBy("_group")
         .orderBy("_range")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    per_range = placed.groupBy("_group", "_range").agg(
-        *[F.sum(column).alias(f"_all_{out}") for out, column in totals.items()]
-    )
     offsets = per_range.select(
         "_group",
         "_range",
@@ -78,17 +101,8 @@ def running_total(
             for out in totals
         ],
     )
-    inside = (
-        Window.partitionBy("_group", "_range")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    summed = placed.select(
-        "*",
-        *[F.sum(column).over(inside).alias(f"_in_{out}") for out, column in totals.items()],
-    )
     return summed.join(offsets, ["_group", "_range"]).select(
-        *df.columns,
+        *[F.col(f"_group.{c}").alias(c) if c in partition else c for c in df.columns],
         *[(F.col(f"_in_{out}") + F.col(f"_before_{out}")).alias(out) for out in totals],
     )
 

@@ -56,3 +56,13 @@ def shuffle(df: DataFrame, key: Sequence[str], seed: int = 42) -> DataFrame:
 def spread(df: DataFrame, key: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Rows spread over tasks by their key; without a number, Spark picks one by size."""
     return df.repartition(*([partitions] if partitions else []), *key)
+
+
+def spread_if_few(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows spread over all cores if they come in fewer pieces than there are cores.
+
+    For work that is heavy per row on an input of one or a few files. A large input already
+    comes in more pieces and is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return spread(df, key, cores) if df.rdd.getNumPartitions() < cores else df

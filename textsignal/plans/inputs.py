@@ -13,6 +13,7 @@ from textsignal import fixed_values as fixed
 from textsignal.functions.text import clean_text
 from textsignal.functions.vectors import as_vector
 from textsignal.operators.segments import document_spans, segment_tokens
+from textsignal.operators.split import spread_if_few
 from textsignal.operators.tokens import tokenize
 
 SUBJECTS = ("rewh", "tion")
@@ -28,7 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    found = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return spread_if_few(found, ["doc_id"])
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +105,13 @@ def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
 STOP_LIST = ", ".join("'" + word.replace("'", "''") + "'" for word in fixed.STOP_WORDS)
 
 
+# The characters of `fixed.ANY_SPACE`, one by one.
+ANY_SPACE_SQL = (
+    r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+)
+
+
 def clean_sql(text: str) -> str:
     steps = f"lower({text})"
     for pattern in (fixed.CLOCK_MARK, fixed.FREE_NUMBER, fixed.NOT_WORD_CHARACTERS):

@@ -143,7 +143,7 @@ def random_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _letters_sql(text: str) -> str:
-    space = fixed.UNICODE_SPACE
+    space = inputs.ANY_SPACE_SQL
     return (
         f"trim(regexp_replace(regexp_replace({text}, '[^a-zA-Z{space}]+', '', 'g'), "
         f"'[{space}]+', ' ', 'g'))"
@@ -208,7 +208,7 @@ _NORMAL_SQL = f"""{_REPLY_SQL},
 normal AS (
   SELECT conv_id, turn, regexp_replace(
     replace(replace(reply, echo, ''), ' . ', '. '),
-    '^[{fixed.UNICODE_SPACE}]+|[{fixed.UNICODE_SPACE}]+$', '', 'g') AS text
+    '^[{inputs.ANY_SPACE_SQL}]+|[{inputs.ANY_SPACE_SQL}]+$', '', 'g') AS text
   FROM replies)"""
 
 
