@@ -19,7 +19,7 @@ SPOKEN_DURATION = r"\b\d+m\s*\d+s|\b\d+s"
 
 # --- tokens ---------------------------------------------------------------------------
 TOKEN_GAP = r"\s+"
-BLANK_TOKEN = r"^\s*$"
+BLANK_CHARACTERS = " \t\n\x0b\f\r"  # a token of nothing else is blank
 
 # --- clean-up of text that goes into a labelling prompt -------------------------------
 # White space of any script counts as a gap between words, and so do the four separators.

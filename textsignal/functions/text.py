@@ -53,21 +53,22 @@ def clean_text(text: Column) -> Column:
     return F.when(F.rlike(lowered, F.lit("[0-9]")), with_digits).otherwise(without_digits)
 
 
-def words(text: Column, stop_words: Iterable[str] = ()) -> Column:
+def words(text: Column, stop_words: Iterable[str] = (), lowered: bool = False) -> Column:
     """Lower-cased words between white space, in order, without blanks and stop words.
 
-    The list of stop words becomes a hash lookup (`InSet`), not a scan per token.
+    `lowered` says that the text is in lower case already, as `clean_text` leaves it. The list
+    of stop words becomes a hash lookup (`InSet`), not a scan per token.
     """
     unwanted = ["", *(word.lower() for word in stop_words)]
-    return F.filter(
-        F.split(F.lower(text), fixed.TOKEN_GAP), lambda token: ~token.isin(unwanted)
-    )
+    lower = text if lowered else F.lower(text)
+    return F.filter(F.split(lower, fixed.TOKEN_GAP), lambda token: ~token.isin(unwanted))
 
 
 def without_blanks(tokens: Column) -> Column:
     """The array without tokens that are null, empty or only white space."""
+    blank = F.lit(fixed.BLANK_CHARACTERS)
     return F.filter(
-        tokens, lambda token: token.isNotNull() & ~token.rlike(fixed.BLANK_TOKEN)
+        tokens, lambda token: token.isNotNull() & (F.trim(token, blank) != "")
     )
 
 

@@ -64,7 +64,8 @@ def running_total(
         configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranges = min(configured, MOST_RANGES)
     keys = (df if keys is None else keys).select(*partition, *order)
-    key = F.struct(*partition, *order)
+    sorted_by = [*partition, *order]
+    key = F.struct(*sorted_by) if len(sorted_by) > 1 else F.col(sorted_by[0])
     points = _split_points(keys, key, ranges)
     group = F.struct(*partition) if partition else F.lit(0)
     others = [c for c in df.columns if c not in partition]
@@ -73,7 +74,10 @@ def running_total(
     ).select(
         *others,
         "_group",
-        F.size(F.filter("_points", lambda point: point < F.col("_key"))).alias("_range"),
+        # Never null, and known to be, so that both readers below keep one and the same shuffle.
+        F.coalesce(
+            F.size(F.filter("_points", lambda point: point < F.col("_key"))), F.lit(0)
+        ).alias("_range"),
     )
     inside = (
         Window.partitionBy("_group", "_range")

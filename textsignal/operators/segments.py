@@ -17,10 +17,12 @@ def document_spans(
 ) -> DataFrame:
     """Where each document starts and ends in the token stream of its show.
 
-    `[show, *order, first, last]` with 0-based places, `last` not included. Works on one
-    narrow row per document; a show with very many documents is split over tasks.
+    `[show, *order, first, last]` with 0-based places, `last` not included; blank tokens do not
+    count. Works on one narrow row per document; a show with very many documents is split over
+    tasks.
     """
-    counted = df.select(show, *order, F.size(tokens).cast("long").alias("_n_tokens"))
+    n_tokens = F.size(without_blanks(F.col(tokens))).cast("long")
+    counted = df.select(show, *order, n_tokens.alias("_n_tokens"))
     ended = running_total(counted, order, {"last": "_n_tokens"}, [show])
     return ended.select(
         show, *order, (F.col("last") - F.col("_n_tokens")).alias("first"), "last"
@@ -43,18 +45,15 @@ def segment_tokens(
     """
     documents = df.select(
         F.struct(F.col(show), *order).alias("_key"),
-        F.col(show),
-        *order,
+        show,
         without_blanks(F.col(tokens)).alias("_tokens"),
     )
-    spans = document_spans(documents, show, order, "_tokens").select(
+    spans = document_spans(df, show, order, tokens).select(
         F.struct(F.col(show), *order).alias("_key"), "first", "last"
     )
     touched = F.sequence(F.floor(F.col("first") / n), F.floor((F.col("last") - 1) / n))
-    pieces = (
-        documents.select("_key", show, "_tokens")
-        .join(spans.where(F.col("last") > F.col("first")), "_key")
-        .select(show, "_tokens", "first", "last", F.explode_outer(touched).alias("_segment"))
+    pieces = documents.join(spans.where(F.col("last") > F.col("first")), "_key").select(
+        show, "_tokens", "first", "last", F.explode_outer(touched).alias("_segment")
     )
     start = F.greatest(F.col("_segment") * n, F.col("first"))
     end = F.least((F.col("_segment") + 1) * n, F.col("last"))

@@ -7,14 +7,23 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textsignal.functions.text import join_lines, words
+from textsignal.functions.text import clean_text, join_lines, unwrap, words
 
 
 def tokenize(
-    df: DataFrame, text: str, out: str = "tokens", stop_words: Iterable[str] = ()
+    df: DataFrame,
+    text: str,
+    out: str = "tokens",
+    stop_words: Iterable[str] = (),
+    lowered: bool = False,
 ) -> DataFrame:
     """Adds the words of a text column as an array, in order."""
-    return df.withColumn(out, words(F.col(text), stop_words))
+    return df.withColumn(out, words(F.col(text), stop_words, lowered))
+
+
+def clean_documents(df: DataFrame, text: str, out: str = "cleaned") -> DataFrame:
+    """Adds the cleaned text of a whole file."""
+    return df.withColumn(out, clean_text(unwrap(F.col(text))))
 
 
 def gather_lines(

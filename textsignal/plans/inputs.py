@@ -37,7 +37,7 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = documents(spark, sf_dir).select(
         "doc_id", "source", clean_text(F.col("text")).alias("cleaned")
     )
-    return tokenize(cleaned, "cleaned", "tokens", fixed.STOP_WORDS).drop("cleaned")
+    return tokenize(cleaned, "cleaned", "tokens", fixed.STOP_WORDS, lowered=True).drop("cleaned")
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:

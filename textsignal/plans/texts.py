@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsignal.functions.mentions import first_context, first_position
-from textsignal.functions.text import clean_text, name_from_path, unwrap, words
+from textsignal.functions.text import clean_text, name_from_path, words
 from textsignal.operators.features import attach_by_array, mean_vector
+from textsignal.operators import tokens
 from textsignal.operators.lexicon import lexicon_score
 from textsignal.operators.mentions import mention_contexts, mention_flags
 from textsignal.operators.running import row_numbers
 from textsignal.operators.summaries import distinct_count, distribution, shape
-from textsignal.operators.tokens import gather_lines
 from textsignal.operators.vocabulary import top_vocab, used_words
 from textsignal.plans import inputs
 from textsignal.plans.registry import query
@@ -27,9 +27,8 @@ SELECT doc_id, source,
          AS cleaned
 FROM documents""")
 def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.documents(spark, sf_dir).select(
-        "doc_id", "source", clean_text(unwrap(F.col("text"))).alias("cleaned")
-    )
+    cleaned = tokens.clean_documents(inputs.documents(spark, sf_dir), "text")
+    return cleaned.select("doc_id", "source", "cleaned")
 
 
 @query(rf"""
@@ -44,8 +43,8 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     split = cleaned.select(
         "doc_id",
-        F.size(words(F.col("cleaned"))).alias("n_words"),
-        words(F.col("cleaned"), fixed.STOP_WORDS).alias("tokens"),
+        F.size(words(F.col("cleaned"), lowered=True)).alias("n_words"),
+        words(F.col("cleaned"), fixed.STOP_WORDS, lowered=True).alias("tokens"),
     )
     return split.select(
         "doc_id",
@@ -318,7 +317,7 @@ def lines_to_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = inputs.documents(spark, sf_dir).select(
         "doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line")
     )
-    return gather_lines(lines, ["doc_id"], "line_no", "line")
+    return tokens.gather_lines(lines, ["doc_id"], "line_no", "line")
 
 
 @query("SELECT doc_id, row_number() OVER (ORDER BY source, doc_id) AS row_num FROM documents")
