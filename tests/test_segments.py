@@ -50,3 +50,10 @@ def test_document_spans(spark):
     df = spark.createDataFrame(data, "show string, doc int, t array<string>")
     got = sorted(tuple(r) for r in document_spans(df, "show", ["doc"], "t").collect())
     assert got == [("a", 1, 0, 2), ("a", 2, 2, 4), ("b", 3, 0, 0)]
+
+
+def test_repeated_document_keys_fail(spark):
+    data = [("a", 1, ["x"]), ("a", 1, ["x"]), ("b", 1, ["y"])]
+    df = spark.createDataFrame(data, "show string, doc int, t array<string>")
+    with pytest.raises(Exception, match="more than one row with the key"):
+        segment_tokens(df, "show", ["doc"], "t").collect()

@@ -48,17 +48,18 @@ def running_total(
     partition: Sequence[str] = (),
     ranges: int | None = None,
     keys: DataFrame | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Adds one running total per entry of `totals` (new column -> column of counts).
 
     Rows are ordered by the `order` columns inside each group of the `partition` columns; the
-    total includes the row itself. `partition` and `order` together must identify a row, and
-    the counts must not be negative. Pass a narrow frame: with only these columns, the totals
-    of the ranges are read from the same shuffle as the rows.
+    total includes the row itself. The counts must not be negative. Pass a narrow frame: with
+    only these columns, the totals of the ranges are read from the same shuffle as the rows.
 
     `ranges` defaults to the number of shuffle partitions, so it grows with the cluster up to
     `MOST_RANGES`. `keys` may name a cheaper frame with the same keys, repeated or not, to
-    sample from.
+    sample from. Rows that share a key follow one another in any order; with `unique` they
+    make the query fail instead.
     """
     if ranges is None:
         configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -79,15 +80,15 @@ def running_total(
             F.size(F.filter("_points", lambda point: point < F.col("_key"))), F.lit(0)
         ).alias("_range"),
     )
-    inside = (
-        Window.partitionBy("_group", "_range")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    summed = placed.select(
-        "*",
-        *[F.sum(column).over(inside).alias(f"_in_{out}") for out, column in totals.items()],
-    )
+    in_order = Window.partitionBy("_group", "_range").orderBy(*order)
+    inside = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = {out: F.sum(column).over(inside) for out, column in totals.items()}
+    if unique:
+        this = F.struct(*order)
+        repeated = F.raise_error(F.concat(F.lit("more than one row with the key "), this.cast("string")))
+        again = F.lag(this).over(in_order).eqNullSafe(this)
+        sums = {out: F.when(again, repeated).otherwise(total) for out, total in sums.items()}
+    summed = placed.select("*", *[total.alias(f"_in_{out}") for out, total in sums.items()])
     # At most one row per group, and one more per split point.
     per_range = summed.groupBy("_group", "_range").agg(
         *[F.max(f"_in_{out}").alias(f"_all_{out}") for out in totals]

@@ -23,7 +23,7 @@ def document_spans(
     """
     n_tokens = F.size(without_blanks(F.col(tokens))).cast("long")
     counted = df.select(show, *order, n_tokens.alias("_n_tokens"))
-    ended = running_total(counted, order, {"last": "_n_tokens"}, [show])
+    ended = running_total(counted, order, {"last": "_n_tokens"}, [show], unique=True)
     return ended.select(
         show, *order, (F.col("last") - F.col("_n_tokens")).alias("first"), "last"
     )
@@ -39,8 +39,8 @@ def segment_tokens(
     """Cuts the token stream of each show into segments of `n` tokens; the last may be short.
 
     Gives `[show, segment_id, segment]`. The stream is the documents of the show, ordered by
-    the `order` columns, which must identify a document inside its show. Blank tokens are
-    left out. A document becomes one row per segment it touches, so what moves between tasks
+    the `order` columns, which must identify a document inside its show (else the query fails).
+    Blank tokens are left out. A document becomes one row per segment it touches, so what moves between tasks
     is runs of tokens and not single tokens.
     """
     documents = df.select(

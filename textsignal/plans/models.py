@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from textsignal.functions.vectors import as_array, as_vector
 from textsignal.operators import features, models
 from textsignal.operators.evaluation import regression_metrics
-from textsignal.operators.lexicon import lexicon_score
 from textsignal.operators.mentions import mention_flags
 from textsignal.operators.split import hash_split
-from textsignal.operators.summaries import class_shares
-from textsignal.operators.vocabulary import top_vocab, used_words
+from textsignal.operators.summaries import class_shares, win_score
 from textsignal.plans import inputs
 from textsignal.plans.registry import query
+from textsignal.steps import features_of_segments
 
 SEGMENT = ["source", "segment_id"]
 
@@ -43,25 +42,10 @@ def segment_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = mention_flags(inputs.segments(spark, sf_dir), "segment", inputs.SUBJECTS)
-    found = features_of_segments(flagged, inputs.lexicon(spark))
+    found = features_of_segments(flagged, inputs.lexicon(spark), SEGMENT)
     return found.withColumn("size", F.size(as_array(F.col("features")))).drop("features")
 
 
-def features_of_segments(flagged: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Segments with one vector each: lexicon score, embedding, embedding of topic words."""
-    with features.kept(flagged) as cut:
-        vocabulary = top_vocab(cut, "segment")
-        used = used_words(cut, SEGMENT, "segment", vocabulary)
-        scores = lexicon_score(cut, SEGMENT, "segment", lexicon)
-        described = cut.join(scores, SEGMENT).join(used, SEGMENT)
-        of_segment = features.fit_embedding(cut, "segment", "embedding")
-        of_topic = features.fit_embedding(described, "used_words", "topic_embedding")
-    embedded = of_topic.transform(of_segment.transform(described))
-    return features.assemble(embedded, ["score", "embedding", "topic_embedding"]).drop(
-        "segment", "used_words", "score", "embedding", "topic_embedding"
-    )
-
-
 @query("""
 WITH items AS (
   SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS dim, embedding FROM embeddings),
@@ -148,6 +132,13 @@ def grid_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.search_results(spark, models.search_forest(train))
 
 
+@query()
+def best_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = hash_split(inputs.embedded(spark, sf_dir), ["vec_id"], [0.7, 0.3])
+    best = models.search_linear(train).bestModel
+    return win_score(best.transform(test), "prediction", ("a", "b"))
+
+
 @query()
 def best_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = hash_split(inputs.embedded(spark, sf_dir), ["vec_id"], [0.7, 0.3])
