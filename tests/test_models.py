@@ -123,3 +123,13 @@ def test_evaluators(spark, vectors):
     names = ["areaUnderROC", "accuracy", "f1"]
     got = {r[0]: r[1] for r in models.evaluate(spark, scored, "binary_label", names).collect()}
     assert set(got) == set(names) and all(0 <= v <= 1 for v in got.values())
+
+
+def test_min_count_is_raised_until_the_words_fit(spark):
+    words = [f"w{i}" for i in range(20) for _ in range(i + 1)]
+    df = spark.createDataFrame([(words,)], "t array<string>")
+    assert features.fitting_min_count(df, "t", 0, 1000) == 0
+    assert features.fitting_min_count(df, "t", 0, 5) == 16
+    assert features.fitting_min_count(df, "t", 18, 5) == 18
+    model = features.fit_embedding(df, "t", "e", size=2, num_partitions=1, max_words=5)
+    assert {r[0] for r in model.getVectors().collect()} == {f"w{i}" for i in range(15, 20)}

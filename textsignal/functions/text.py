@@ -57,11 +57,14 @@ def words(text: Column, stop_words: Iterable[str] = (), lowered: bool = False) -
     """Lower-cased words between white space, in order, without blanks and stop words.
 
     `lowered` says that the text is in lower case already, as `clean_text` leaves it. The list
-    of stop words becomes a hash lookup (`InSet`), not a scan per token.
+    of stop words becomes a hash lookup (`InSet`), not a scan per token. A null text has no
+    words: as the array is never null, a join on it adds no null check, which would clean and
+    split every text a second time.
     """
     unwanted = ["", *(word.lower() for word in stop_words)]
     lower = text if lowered else F.lower(text)
-    return F.filter(F.split(lower, fixed.TOKEN_GAP), lambda token: ~token.isin(unwanted))
+    kept = F.filter(F.split(lower, fixed.TOKEN_GAP), lambda token: ~token.isin(unwanted))
+    return F.coalesce(kept, F.array().cast("array<string>"))
 
 
 def without_blanks(tokens: Column) -> Column:

@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 
 from textsignal import fixed_values as fixed
 from textsignal.functions.vectors import as_array, as_vector
+from textsignal.operators.running import running_total
+from textsignal.operators.vocabulary import word_counts
+
+MOST_WORDS = 4_000_000
 
 
 @contextmanager
@@ -58,10 +62,11 @@ def topic_model(
     min_df: int = fixed.VOCABULARY_MIN_DOCUMENTS,
 ) -> tuple[CountVectorizerModel, LDAModel]:
     """Fits term counts and a topic model on them."""
-    counter = term_counts(df, tokens, "term_counts", vocabulary_size, min_df)
-    with kept(counter.transform(df).select("term_counts")) as counts:
-        topics = LDA(k=k, maxIter=max_iter, seed=seed, featuresCol="term_counts").fit(counts)
-    return counter, topics
+    with kept(df.select(tokens)) as texts:
+        counter = term_counts(texts, tokens, "term_counts", vocabulary_size, min_df)
+        with kept(counter.transform(texts).select("term_counts")) as counts:
+            lda = LDA(k=k, maxIter=max_iter, seed=seed, featuresCol="term_counts")
+            return counter, lda.fit(counts)
 
 
 def topic_terms(
@@ -90,6 +95,22 @@ def topic_mixture(
     return topics.setTopicDistributionCol(out).transform(counter.transform(df))
 
 
+def fitting_min_count(df: DataFrame, tokens: str, min_count: int, max_words: int) -> int:
+    """The given count, or the lowest one that leaves at most `max_words` distinct words."""
+    words = df.select(F.explode_outer(tokens).alias("word"))
+    estimate = words.agg(F.approx_count_distinct("word")).first()[0]
+    if estimate < 0.8 * max_words:
+        return min_count
+    per_count = word_counts(df, tokens).groupBy("n").agg(F.count("*").alias("words"))
+    falling = per_count.withColumn("_down", -F.col("n"))
+    reached = running_total(falling, ["_down"], {"reached": "words"})
+    ends = reached.agg(
+        F.max("n").alias("highest"),
+        F.min(F.when(F.col("reached") <= max_words, F.col("n"))).alias("fitting"),
+    ).first()
+    return max(min_count, ends["fitting"] or ends["highest"] or 0)
+
+
 def fit_embedding(
     df: DataFrame,
     tokens: str,
@@ -98,22 +119,24 @@ def fit_embedding(
     min_count: int = 0,
     num_partitions: int | None = None,
     seed: int = 42,
+    max_words: int = MOST_WORDS,
 ) -> Word2VecModel:
     """Fits word vectors. `num_partitions` defaults to the parallelism of the session.
 
-    The vocabulary and its vectors pass through the driver, as in any fit of this estimator:
-    on a very large collection raise `min_count`.
+    Spark's estimator holds the vectors of all words on the driver and in every task. A
+    collection with more than `max_words` distinct words is fitted on the more frequent ones,
+    by raising `min_count` until they fit.
     """
     parts = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    estimator = Word2Vec(
-        vectorSize=size,
-        minCount=min_count,
-        numPartitions=parts,
-        seed=seed,
-        inputCol=tokens,
-        outputCol=out,
-    )
     with kept(df.select(tokens)) as sentences:
+        estimator = Word2Vec(
+            vectorSize=size,
+            minCount=fitting_min_count(sentences, tokens, min_count, max_words),
+            numPartitions=parts,
+            seed=seed,
+            inputCol=tokens,
+            outputCol=out,
+        )
         return estimator.fit(sentences)
 
 
