@@ -2,9 +2,10 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import plan_of, rows
 from textsignal.operators.features import term_counts
 from textsignal.operators.lexicon import lexicon_score
+from textsignal.operators.sized import broadcast_if_small
 from textsignal.operators.vocabulary import top_vocab, used_words, word_counts
 from textsignal.plans import inputs
 
@@ -29,15 +30,21 @@ def test_lexicon_score(spark):
     assert rows(got) == [(1, 5), (2, 0), (3, 2), (4, 5), (5, 0)]
 
 
-def test_lexicon_score_without_broadcast_is_the_same(spark):
+def test_lexicon_score_without_broadcast_is_the_same(spark, monkeypatch):
     lexicon = spark.createDataFrame([("good", 3), ("bad", -2)], "word string, score int")
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    expected = rows(lexicon_score(frame(spark), ["k"], "t", lexicon))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert rows(lexicon_score(frame(spark), ["k"], "t", lexicon)) == expected
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    sent = lexicon_score(frame(spark), ["k"], "t", lexicon)
+    assert "BroadcastHashJoin" in plan_of(sent)
+    monkeypatch.setattr("textsignal.operators.lexicon.broadcast_if_small", lambda df, text: df)
+    shuffled = lexicon_score(frame(spark), ["k"], "t", lexicon)
+    assert "BroadcastHashJoin" not in plan_of(shuffled)
+    assert rows(shuffled) == rows(sent)
+
+
+def test_only_measured_frames_are_broadcast(spark):
+    df = spark.createDataFrame([("ab", 1), ("c", 2)], "word string, score int")
+    assert "hint" in plan_of(broadcast_if_small(df, "word", rows=2, size=3)).lower()
+    assert broadcast_if_small(df, "word", rows=1) is df
+    assert broadcast_if_small(df, "word", size=2) is df
 
 
 def test_word_counts(spark):

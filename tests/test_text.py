@@ -99,8 +99,10 @@ def test_words_equal_the_ml_transformers(spark):
 
 
 def test_without_blanks(spark):
-    df = spark.createDataFrame([(["a", "", " ", "\t\n", None, " b"],)], "t array<string>")
-    assert df.select(T.without_blanks(F.col("t"))).first()[0] == ["a", " b"]
+    tokens = ["a", "", " ", "\t\n", None, " b", "\x01", "\x0b\x0c\r", "\x1f ", "é", "\u00a0", "!"]
+    df = spark.createDataFrame([(tokens,)], "t array<string>")
+    kept = ["a", " b", "\x01", "\x1f ", "é", "\u00a0", "!"]
+    assert df.select(T.without_blanks(F.col("t"))).first()[0] == kept
 
 
 def test_unwrap_equals_joined_lines(spark):
