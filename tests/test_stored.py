@@ -1,0 +1,36 @@
+import pytest
+
+from helpers import plan_of, rows
+from textsignal.operators import stored as module
+
+
+class FakeContext:
+    def __init__(self, master):
+        self.master, self.applicationId = master, f"application on {master}"
+
+
+class FakeSession:
+    def __init__(self, master, settings):
+        self.sparkContext, self._settings = FakeContext(master), settings
+        self.conf = self
+
+    def get(self, name, default):
+        return self._settings.get(name, default)
+
+
+def test_stored_rows_are_read_back(spark):
+    df = spark.createDataFrame([(1, ["a"]), (2, [])], "k int, t array<string>")
+    kept = module.stored(df)
+    assert rows(kept) == rows(df) and kept.columns == df.columns
+    assert module.shared_folder(spark).rstrip("/") in plan_of(kept.select("k"))
+    assert "ExistingRDD" not in plan_of(kept)
+    assert module.stored(df.where("k > 5")).count() == 0
+
+
+def test_the_folder_is_the_one_the_session_names():
+    named = FakeSession("yarn", {module.SETTING: "hdfs://shared/tables"})
+    assert module.shared_folder(named) == "hdfs://shared/tables"
+    alone = FakeSession("local[2]", {})
+    assert module.shared_folder(alone) == module.shared_folder(alone)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        module.shared_folder(FakeSession("yarn", {}))

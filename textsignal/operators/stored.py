@@ -1,0 +1,39 @@
+"""Intermediate tables written once, for work that reads them several times."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names for intermediate tables.
+
+    Without the setting, a session on one machine gets a temporary folder of its own; a cluster
+    has to name a folder that all its machines see.
+    """
+    named = spark.conf.get(SETTING, None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {SETTING} to a folder that all machines share")
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="textsignal-")
+    return _local_folders[application]
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, written as a table now and read from it whenever they are used.
+
+    Later steps neither repeat the work that led to the rows nor depend on the executors that
+    did it.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from textsignal.operators import features, models
 from textsignal.operators.evaluation import regression_metrics
 from textsignal.operators.mentions import mention_flags
 from textsignal.operators.split import hash_split
+from textsignal.operators.stored import stored
 from textsignal.operators.summaries import class_shares, win_score
 from textsignal.plans import inputs
 from textsignal.plans.registry import query
@@ -20,13 +21,13 @@ SEGMENT = ["source", "segment_id"]
 
 @query()
 def topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counter, topics = features.topic_model(inputs.segments(spark, sf_dir), "segment")
+    counter, topics = features.topic_model(stored(inputs.segments(spark, sf_dir)), "segment")
     return features.topic_terms(counter, topics)
 
 
 @query()
 def topic_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = inputs.segments(spark, sf_dir)
+    cut = stored(inputs.segments(spark, sf_dir))
     counter, topics = features.topic_model(cut, "segment")
     mixed = features.topic_mixture(cut, counter, topics)
     return features.elements(mixed, SEGMENT, "mixture", "share")
@@ -34,7 +35,7 @@ def topic_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def segment_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    embedded = features.embed(inputs.segments(spark, sf_dir), "segment", "embedding")
+    embedded = features.embed(stored(inputs.segments(spark, sf_dir)), "segment", "embedding")
     vector = as_vector(as_array(F.col("embedding")))
     return embedded.select(*SEGMENT, F.size(as_array(vector)).alias("size"))
 
@@ -42,7 +43,7 @@ def segment_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = mention_flags(inputs.segments(spark, sf_dir), "segment", inputs.SUBJECTS)
-    found = features_of_segments(flagged, inputs.lexicon(spark), SEGMENT)
+    found = features_of_segments(stored(flagged), inputs.lexicon(spark), SEGMENT)
     return found.withColumn("size", F.size(as_array(F.col("features")))).drop("features")
 
 
