@@ -55,6 +55,12 @@ def test_known_curve(spark):
     assert evaluation.auc(tied, "label", "score").first()[0] == 0.5
 
 
+def test_a_score_of_zero_has_a_positive_threshold(spark):
+    df = spark.createDataFrame([(1, 0.5), (0, 0.0), (1, -0.0)], "label int, score double")
+    lowest = evaluation.roc_points(df, "label", "score").orderBy("threshold").first()
+    assert str(lowest["threshold"]) == "0.0" and (lowest["tp"], lowest["fp"]) == (2, 1)
+
+
 def test_curves_without_rows_or_with_one_class(spark):
     empty = scored(spark).where("id < 0")
     assert evaluation.areas(empty, "label", "score").first()["auc_roc"] is None

@@ -1,5 +1,6 @@
 from collections import Counter
 
+from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
 
 from helpers import plan_of, rows
@@ -60,14 +61,20 @@ def test_top_vocab_order_and_minimum(spark):
     ]
 
 
-def test_top_vocab_agrees_with_the_count_vectorizer(spark):
+def test_term_counts_agree_with_the_count_vectorizer(spark):
     tokens = inputs.tokens(spark, "/root/testdata/sf0.001")
-    model = term_counts(tokens, "tokens")
-    ours = {r["word"]: r["n"] for r in top_vocab(tokens, "tokens").collect()}
+    theirs = CountVectorizer(inputCol="tokens", outputCol="v", vocabSize=100, minDF=3.0).fit(tokens)
+    ours = term_counts(tokens, "tokens", "v")
     counts = Counter(w for r in tokens.select("tokens").collect() for w in r[0])
     # The order of ties is free there, so words are compared by their counts.
-    assert sorted(counts[w] for w in model.vocabulary) == sorted(ours.values())
-    assert all(counts[w] == n for w, n in ours.items())
+    assert [counts[w] for w in theirs.vocabulary] == [counts[w] for w in ours.vocabulary]
+    lowest = counts[ours.vocabulary[-1]]
+    assert {w for w in theirs.vocabulary if counts[w] > lowest} == {
+        w for w in ours.vocabulary if counts[w] > lowest
+    }
+    for r in ours.transform(tokens).select("tokens", "v").collect():
+        found = {ours.vocabulary[i]: n for i, n in zip(r["v"].indices, r["v"].values)}
+        assert found == {w: n for w, n in Counter(r["tokens"]).items() if w in ours.vocabulary}
 
 
 def test_used_words(spark):

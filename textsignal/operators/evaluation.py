@@ -128,7 +128,7 @@ def _curve(df: DataFrame, label: str, score: str) -> DataFrame:
         F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).alias("totals")
     )
     return counted.select(
-        (-F.col("_down")).alias("threshold"),
+        (F.lit(0.0) - F.col("_down")).alias("threshold"),  # a score of zero stays positive
         "pos",
         "neg",
         "tp",

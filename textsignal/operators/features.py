@@ -8,7 +8,6 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import (
-    CountVectorizer,
     CountVectorizerModel,
     StandardScaler,
     StandardScalerModel,
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 from textsignal import fixed_values as fixed
 from textsignal.functions.vectors import as_array, as_vector
 from textsignal.operators.running import running_total
-from textsignal.operators.vocabulary import word_counts
+from textsignal.operators.vocabulary import top_vocab, word_counts
 
 MOST_WORDS = 4_000_000
 
@@ -48,8 +47,13 @@ def term_counts(
     k: int = fixed.VOCABULARY_SIZE,
     min_df: int = fixed.VOCABULARY_MIN_DOCUMENTS,
 ) -> CountVectorizerModel:
-    """Fits sparse vectors of word counts over the `k` most frequent words."""
-    return CountVectorizer(inputCol=tokens, outputCol=out, vocabSize=k, minDF=float(min_df)).fit(df)
+    """Sparse vectors of word counts over the `k` most frequent words of at least `min_df` rows.
+
+    The words are chosen by `top_vocab`: the choice of Spark's count vectorizer, but with a
+    fixed order of ties, and counted without leaving Spark SQL. Only the `k` words are fetched.
+    """
+    chosen = top_vocab(df, tokens, k, min_df).orderBy("rank").select("word").collect()
+    return CountVectorizerModel.from_vocabulary([row["word"] for row in chosen], tokens, out)
 
 
 def topic_model(
