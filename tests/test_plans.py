@@ -64,3 +64,19 @@ def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns == ["source", "n_segments", "n_rewh", "n_tion"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["segments", "used_vocabulary", "roc_points", "label_join", "label_histogram"])
+def test_equals_sql_where_nothing_is_small_enough_to_broadcast(spark, duck, name):
+    limits = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for limit in limits:
+        spark.conf.set(limit, "-1")
+    try:
+        df = QUERIES[name](spark, SF)
+        result = duck.execute(SQL[name])
+        columns = [c[0] for c in result.description]
+        assert by_name(df.columns, df.collect()) == by_name(columns, result.fetchall())
+        assert "SortMergeJoin" in plan_of(df)
+    finally:
+        for limit in limits:
+            spark.conf.unset(limit)
