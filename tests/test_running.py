@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan_of, rows
-from textsignal.operators.running import row_numbers, running_total
+from textsignal.operators.running import _split_points, row_numbers, running_total
 
 
 def plain(data):
@@ -45,12 +45,14 @@ def test_row_numbers_do_not_depend_on_partitions(spark):
     assert [r[2] for r in by_key] == list(range(1, 2001))
 
 
-def test_rows_are_split_over_ranges(spark):
+def test_a_hot_group_is_split_over_ranges(spark):
     df = spark.range(20000).select("id", F.lit("hot").alias("show"))
     numbered = row_numbers(df, ["id"], ["show"], ranges=8)
-    plan = plan_of(numbered)
-    window = next(line for line in plan.split("\n") if "row_num" in line or "_in_row_num" in line)
-    assert window
-    placed = numbered.count()
-    assert placed == 20000
-    assert "windowspecdefinition(_group" in plan and "_range" in plan
+    assert numbered.agg(F.count_distinct("row_num"), F.max("row_num")).first() == (20000, 20000)
+    windows = [line for line in plan_of(numbered).split("\n") if "Window [sum(_one" in line]
+    assert windows and all("_range" in line for line in windows)
+    keys = df.select("show", "id")
+    points = _split_points(keys, F.struct("show", "id"), 8).first()["points"]
+    edges = [-1, *[p["id"] for p in points], 19999]
+    sizes = [b - a for a, b in zip(edges, edges[1:])]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20000 / 8

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsignal.functions.text import name_from_path, unwrap
@@ -46,11 +46,15 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_exported_segments(spark: SparkSession, path: str, arrays: dict[str, str]) -> DataFrame:
-    """Segments that `export_csv` wrote: `arrays` names the flattened columns and their gaps."""
+    """Segments that `export_csv` wrote: `arrays` names the flattened columns and their gaps.
+
+    All other columns are text. An empty field is an empty array.
+    """
     raw = spark.read.csv(path, header=True, inferSchema=False, escape='"')
-    return raw.withColumns(
-        {
-            name: F.filter(F.split(F.col(name), gap), lambda token: token != "")
-            for name, gap in arrays.items()
-        }
-    )
+    empty = F.array().cast("array<string>")
+
+    def parsed(name: str, gap: str) -> Column:
+        pieces = F.split(F.col(name), f"\\Q{gap}\\E")
+        return F.coalesce(F.filter(pieces, lambda token: token != ""), empty)
+
+    return raw.withColumns({name: parsed(name, gap) for name, gap in arrays.items()})
