@@ -26,7 +26,7 @@ from textsignal.llm.store import stored
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
 SEED = "mix"
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 2_000
 RESULTS = ("size", "source_size", "target", "taken", "copies", "part")
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textsignal.llm import exact_dedup, mixing, sharding
+from textsignal.llm import exact_dedup, language, mixing, sharding, toxicity
 from textsignal.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -84,3 +85,25 @@ SELECT doc_id, slot, CAST(string_split('{",".join(map(str, SHARD_OWNERS))}', ','
 @query(SHARD_SQL)
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
+
+
+def _part(key: str, parts: int) -> Column:
+    """crc32 of the key's text, modulo `parts`; a null key counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % parts
+
+
+@query()
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language.fit(documents.where(_part("doc_id", 4) != 2))
+    asked = documents.select("doc_id", (_part("doc_id", 4) == 2).alias("held_out"), "text")
+    return language.predict(asked, model).drop("text")
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(_part("doc_id", 5) != 0)
+    model = toxicity.fit(documents.where(_part("doc_id", 5) != 0), labels)
+    asked = documents.select("doc_id", (_part("doc_id", 5) == 0).alias("held_out"), "text")
+    return toxicity.score(asked, model).drop("text")
