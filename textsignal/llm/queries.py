@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textsignal.llm import exact_dedup, language, mixing, sharding, toxicity
+from textsignal.llm import decontamination, exact_dedup, language, mixing, sharding, toxicity
 from textsignal.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -107,3 +107,53 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(documents.where(_part("doc_id", 5) != 0), labels)
     asked = documents.select("doc_id", (_part("doc_id", 5) == 0).alias("held_out"), "text")
     return toxicity.score(asked, model).drop("text")
+
+
+def _seed_sql(source: str, ids: str) -> str:
+    """Every mask at every position of the words `w`, as one text."""
+    parts = []
+    for name in decontamination.MASKS:
+        chosen = [i for i, c in enumerate(name) if c == "1"]
+        words = " || ' ' || ".join(f"w[i + {p + 1}]" for p in chosen)
+        parts.append(
+            f"SELECT {ids}, i, '{name} ' || {words} AS seed FROM (SELECT {ids}, w, "
+            f"unnest(range(0, len(w) - {len(name) - 1})) AS i FROM {source})"
+        )
+    return " UNION ALL ".join(parts)
+
+
+#: The items of the test tables have 15 words or more.
+OVERLAP_SQL = rf"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM benchmark),
+docs AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM documents
+  WHERE text IS NOT NULL),
+marks AS ({_seed_sql("items", "item_id")}),
+seeds AS ({_seed_sql("docs", "doc_id")}),
+hits AS (
+  SELECT DISTINCT doc_id, item_id, s.i - m.i AS shift FROM seeds s JOIN marks m ON s.seed = m.seed),
+laid AS (
+  SELECT h.doc_id, h.item_id, h.shift, len(t.w) AS n, d.w AS said, t.w AS w
+  FROM hits h JOIN docs d ON h.doc_id = d.doc_id JOIN items t ON h.item_id = t.item_id),
+each AS (
+  SELECT doc_id, item_id, shift, n, k, CASE WHEN shift + k >= 0 AND shift + k < len(said)
+      AND said[shift + k + 1] = w[k + 1] THEN 1 ELSE 0 END AS equal
+  FROM (SELECT *, unnest(range(0, n)) AS k FROM laid)),
+sums AS (
+  SELECT doc_id, item_id, shift, n, k, sum(equal) OVER whole AS matched,
+    sum(equal) OVER (whole ORDER BY k ROWS BETWEEN {decontamination.WINDOW - 1} PRECEDING AND CURRENT ROW) AS best
+  FROM each WINDOW whole AS (PARTITION BY doc_id, item_id, shift))
+SELECT doc_id, item_id, CAST(max(n) AS BIGINT) AS item_words, CAST(max(matched) AS BIGINT) AS matched,
+  CAST(max(best) AS BIGINT) AS window_matched
+FROM (SELECT doc_id, item_id, shift, n, max(matched) AS matched, max(best) AS best FROM sums
+  GROUP BY ALL HAVING max(best) * 100 >= {decontamination.SHARE} * least(n, {decontamination.WINDOW}))
+GROUP BY doc_id, item_id
+"""
+
+
+@query(OVERLAP_SQL)
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
