@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textsignal.llm import decontamination, exact_dedup, language, mixing, sharding, toxicity
+from textsignal.llm import (
+    decontamination,
+    exact_dedup,
+    html_extract,
+    language,
+    mixing,
+    sharding,
+    toxicity,
+)
 from textsignal.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -157,3 +165,9 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlaps(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
+
+
+@query()
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
