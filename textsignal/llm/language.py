@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textsignal.llm.common import measured_broadcast
 from textsignal.llm.store import stored
 
 DIMS = 8192
@@ -120,9 +121,9 @@ def uniform(key: Column, salt: str) -> Column:
 def labelled_sample(rows: DataFrame, label: str, key: str, most: int, salt: str) -> DataFrame:
     """At most `most` rows of each label, those whose keys have the least hashes."""
     known = rows.where(F.col(label).isNotNull()).withColumn("_u", uniform(F.col(key), salt))
-    sizes = known.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = stored(known.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n")))
     # About a tenth more than wanted come near the window, however large the table is.
-    near = known.join(sizes, F.col(label) == F.col("_label")).where(
+    near = known.join(measured_broadcast(sizes, 64), F.col(label) == F.col("_label")).where(
         F.col("_u") * F.col("_n") < most * 1.1 + 30
     )
     place = F.row_number().over(Window.partitionBy(label).orderBy("_u", key))

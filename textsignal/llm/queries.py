@@ -9,6 +9,7 @@ from textsignal.llm import (
     decontamination,
     exact_dedup,
     html_extract,
+    jaccard_join,
     language,
     mixing,
     sharding,
@@ -171,3 +172,8 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_extract.extract(pages, html_extract.fit(pages))
+
+
+@query()
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
