@@ -36,6 +36,8 @@ from textsignal.llm.store import stored
 
 PER_CLASS = 5_000
 MOST_WORDS = 20_000
+#: Tasks that count the words of the sample, so that each counts few.
+COUNT_PARTS = 64
 LEAST_Z = 4.0
 LEAST_RATIO = 1.0
 PRIOR = 0.05
@@ -187,7 +189,7 @@ def fit(
 
     # Near copies mostly share their least word hash, and then meet in one partition.
     hashes = F.transform(F.split(F.lower("text"), r"\s+"), lambda w: F.xxhash64(w))
-    near = texts.repartition(F.array_min(hashes))
+    near = texts.repartition(COUNT_PARTS, F.array_min(hashes))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
