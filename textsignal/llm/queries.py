@@ -12,6 +12,7 @@ from textsignal.llm import (
     jaccard_join,
     language,
     mixing,
+    passage_dedup,
     sharding,
     toxicity,
 )
@@ -177,3 +178,8 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.dedup_passages(table(spark, sf_dir, "documents"))

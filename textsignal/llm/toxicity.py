@@ -204,9 +204,10 @@ def fit(
                         seen.add(place)
                         for unit in units(word):
                             n.setdefault(unit, [0, 0])[value] += 1
-        yield pd.DataFrame(
-            {"unit": list(n), "y0": [c[0] for c in n.values()], "y1": [c[1] for c in n.values()]}
-        )
+        if n:
+            yield pd.DataFrame(
+                {"unit": list(n), "y0": [c[0] for c in n.values()], "y1": [c[1] for c in n.values()]}
+            )
 
     words = stored(
         near.mapInPandas(count, "unit string, y0 long, y1 long")
