@@ -164,4 +164,5 @@ def clean(
 ) -> DataFrame:
     """The documents that overlap with no item, with their columns."""
     found = stored(overlaps(docs, benchmark, key, **settings).select(F.col(key).alias("_found")).distinct())
-    return docs.join(measured_broadcast(found, 16), docs[key].eqNullSafe(F.col("_found")), "left_anti")
+    found = measured_broadcast(found, 16)
+    return docs.join(found, docs[key].eqNullSafe(found["_found"]), "left_anti")

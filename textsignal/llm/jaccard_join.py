@@ -60,29 +60,32 @@ def _least(n: int, share: int) -> int:
 
 
 def sized(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows (_id, _set, _n, _few): the set of each row, its size, and its sampled shingles.
+    """Rows (_id, _tag, _set, _n, _few): the set of each row, its size, and its sampled shingles.
 
-    `_set` is null for a text without words.
+    `_tag` is a hash of the text; `_set` is null for a text without words.
     """
     limit = np.uint64(SAMPLED << 58)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, sizes, few = [], [], []
-            for _, sets in shingle_sets(batch.column(1).to_pylist()):
+            for _, sets in shingle_sets(batch.column(2).to_pylist()):
                 for s in sets:
                     names.append(digest(s) if len(s) else None)
                     sizes.append(len(s))
                     few.append(int(np.searchsorted(s, limit)))
+            made = [pa.array(c, pa.int64()) for c in (names, sizes, few)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(few, pa.int64())],
-                names=["_id", "_set", "_n", "_few"],
+                [batch.column(0), batch.column(1), *made],
+                names=["_id", "_tag", "_set", "_n", "_few"],
             )
 
-    rows = docs.select(docs[key].alias("_id"), docs[text].alias("_text"))
+    rows = docs.select(
+        docs[key].alias("_id"), F.xxhash64(docs[text]).alias("_tag"), docs[text].alias("_text")
+    )
     kind = rows.schema["_id"].dataType
     schema = T.StructType([T.StructField("_id", kind)])
-    for name in ("_set", "_n", "_few"):
+    for name in ("_tag", "_set", "_n", "_few"):
         schema = schema.add(name, "long")
     return rows.mapInArrow(run, schema)
 
@@ -350,6 +353,15 @@ def _large(large: DataFrame, share: int) -> list[DataFrame]:
     return [first, second]
 
 
+def _components(known: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows (_of_set, _component): a name of the component of every set."""
+    names = components(pairs)
+    sets = known.where(F.col("_set").isNotNull()).select("_set").distinct()
+    return sets.join(names, F.col("_set") == F.col("node"), "left").select(
+        F.col("_set").alias("_of_set"), F.coalesce("component", "_set").alias("_component")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE
 ) -> DataFrame:
@@ -358,21 +370,56 @@ def near_duplicates(
     A set has the distinct five-word shingles of the text (words are runs without white space, A-Z
     lower-cased), the whole text if it has fewer words, and nothing for a null text or one without
     words. Rows link if 100 x intersection >= `share` x union of their sets; empty sets link with
-    nothing. `component_id` is the least key reachable by links, itself included; null keys come
-    last. Repeated rows link with one another. An empty table gives an empty table.
+    nothing. `component_id` is the least key reachable by links, itself included; null only where
+    all keys are. Repeated rows link with one another. An empty table gives an empty table.
     """
     known = stored(sized(docs, key, text))
-    pairs = set_links(docs, known, key, text, share)
-    names = components(pairs)
+    of = stored(_components(known, set_links(docs, known, key, text, share)))
     classes = known.where(F.col("_set").isNotNull()).groupBy("_set").agg(F.min("_id").alias("_least"))
-    labelled = classes.join(names, F.col("_set") == F.col("node"), "left").select(
-        "_set", "_least", F.coalesce("component", "_set").alias("_component")
+    least = (
+        classes.join(of, F.col("_set") == F.col("_of_set"))
+        .groupBy("_component")
+        .agg(F.min("_least").alias("_all"))
     )
-    of = labelled.groupBy("_component").agg(F.min("_least").alias("_all"))
-    final = stored(labelled.join(of, "_component").select(F.col("_set").alias("_of_set"), "_all"))
+    final = stored(of.join(least, "_component").select("_of_set", "_all"))
     # Both sides come from tables, so that Spark can split a set with very many copies.
     return known.join(final, F.col("_set") == F.col("_of_set"), "left").select(
         F.col("_id").alias(key),
         F.col("_n").alias("n_shingles"),
         F.when(F.col("_set").isNull(), F.col("_id")).otherwise(F.col("_all")).alias("component_id"),
     )
+
+
+def keep_one(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = SHARE
+) -> DataFrame:
+    """The rows of `docs` of which one of each component stays: the one with the least key.
+
+    Of rows with that key the one whose text has the least hash stays, and of repeated rows one.
+    Rows without words all stay.
+    """
+    known = stored(sized(docs, key, text))
+    of = stored(_components(known, set_links(docs, known, key, text, share)))
+    rows = known.join(of, F.col("_set") == F.col("_of_set")).select("_id", "_tag", "_component")
+    first = F.min(F.struct(F.col("_id").isNull().alias("n"), "_id", "_tag"))
+    stays = stored(rows.groupBy("_component").agg(first.alias("_stays")))
+    rows = stored(rows)
+    gone = rows.join(stays, "_component").where(
+        ~(F.col("_id").eqNullSafe(F.col("_stays._id")) & (F.col("_tag") == F.col("_stays._tag")))
+    )
+    gone = stored(gone.select("_id", "_tag").distinct())
+    again = stored(rows.groupBy("_id", "_tag").count().where(F.col("count") > 1).drop("count"))
+
+    def without(frame: DataFrame, those: DataFrame, how: str) -> DataFrame:
+        those = measured_broadcast(those, 24)
+        on = frame[key].eqNullSafe(those["_id"]) & (F.xxhash64(frame[text]) == those["_tag"])
+        return frame.join(those, on, how)
+
+    kept = without(docs, gone, "left_anti")
+    if again.isEmpty():
+        return kept
+    # Repeated rows that stay: one of each.
+    once = without(kept, again, "left_semi")
+    tag = next(f"_tag{i}" for i in range(99) if f"_tag{i}" not in docs.columns)
+    once = once.withColumn(tag, F.xxhash64(once[text])).dropDuplicates([key, tag]).drop(tag)
+    return without(kept, again, "left_anti").union(once)

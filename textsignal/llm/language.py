@@ -233,9 +233,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text", prefix: str = "")
     """Adds `lang_pred`, `score` (0 to 1), `similarity` (cosine) and `rejected` to every row.
 
     `und`, score 0 and rejected stand for a null or empty text, one without letters, and any text
-    if nothing was learned. `prefix` goes before the four names, where a table has such columns.
+    if nothing was learned. `prefix` goes before the four names; columns of `docs` that are named so
+    are replaced.
     """
     names = [f"{prefix}{n}" for n in ("lang_pred", "score", "similarity", "rejected")]
+    docs = docs.select(*[docs[c] for c in docs.columns if c.lower() not in names])
     place = docs.columns.index(text)
     kinds = ("string", "double", "double", "boolean")
     schema = T.StructType([*docs.schema.fields])

@@ -263,9 +263,10 @@ def fit(
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Adds `score` (0 to 1), `predicted` (1 from 0.5 on), `n_passages` and `passages`.
 
-    A null or empty text has no passage and the score of a text without evidence. Passages give the
+    Columns of these names are replaced. A null or empty text has no passage and the score of a text without evidence. Passages give the
     first and last word (from 0, words are runs of letters), score and expected number.
     """
+    docs = docs.select(*[docs[c] for c in docs.columns if c.lower() not in RESULTS])
     place = docs.columns.index(text)
     fields = [("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())]
     kind = pa.list_(pa.struct(fields))
