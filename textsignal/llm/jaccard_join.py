@@ -40,7 +40,7 @@ from textsignal.llm.store import stored
 
 SHARE = 80
 #: The sampled part of all shingles, in 64ths; more than 100 - `SHARE` per cent.
-SAMPLED = 16
+SAMPLED = 32
 #: Shingles in a group that counts them.
 PER_GROUP = 500_000
 #: Documents that tell frequent shingles, and the part of them, in per mille, that makes one so.
