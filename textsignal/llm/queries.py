@@ -13,6 +13,7 @@ from textsignal.llm import (
     language,
     mixing,
     passage_dedup,
+    pii,
     sharding,
     toxicity,
 )
@@ -183,3 +184,8 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passage_dedup.dedup_passages(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
