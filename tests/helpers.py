@@ -22,11 +22,15 @@ def clean(text):
 
 
 def contexts(tokens, subjects, radius, exact=False):
-    found = []
-    for i, token in enumerate(tokens):
-        if token in subjects if exact else any(s in token for s in subjects):
-            found.append((i + 1, tokens[max(0, i - radius) : i + radius + 1]))
-    return found
+    """By definition: each place that names a subject, with all tokens at most `radius` away."""
+    names = "|".join(map(re.escape, subjects))
+    named = re.compile(rf"\A(?:{names})\Z" if exact else names).search
+    at = {place: token for place, token in enumerate(tokens, 1)}
+    return [
+        (place, [at[p] for p in sorted(at) if abs(p - place) <= radius])
+        for place in sorted(at)
+        if named(at[place])
+    ]
 
 
 def segments(documents, n):
@@ -39,3 +43,8 @@ def segments(documents, n):
         for show, stream in streams.items()
         for start in range(0, len(stream), n)
     }
+
+
+def answer(prompts, budgets):
+    """A scorer: no reply at first, then a rating by the length of the prompt."""
+    return [f"0.{len(p) % 10} trump" if b > len(p.split()) + 450 else None for p, b in zip(prompts, budgets)]

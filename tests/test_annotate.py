@@ -1,10 +1,12 @@
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
 from textsignal.functions import replies
-from textsignal.operators.annotate import annotate, build_prompts, parse_reply, rule_scorer
+from textsignal.operators.annotate import annotate, build_prompts, parse_reply
+from textsignal.plans.rule_scorer import rule_scorer
 
 INSTRUCTION = "Rate it.\nNow."
 
@@ -62,5 +64,27 @@ def test_annotate_keeps_rows_that_never_succeed(spark):
     def fails_on_b(prompts, budgets):
         return [None if p.endswith("b") else "0.5" for p in prompts]
 
-    got = annotate(asked, ["k"], fails_on_b, max_attempts=3).select("k", "reply", "attempts")
-    assert rows(got) == [(1, "0.5", 1), (2, None, 3)]
+    got = annotate(asked, ["k"], fails_on_b, max_attempts=3).select(
+        "k", "reply", "attempts", "gave_up"
+    )
+    assert rows(got) == [(1, "0.5", 1, False), (2, None, 3, True)]
+
+
+def test_annotate_goes_on_after_errors_and_without_a_bound(spark):
+    asked = build_prompts(spark.createDataFrame([(1, "a")], "k int, text string"), "text", "Rate.")
+
+    def fails_at_first(prompts, budgets):
+        if budgets[0] < 400 + 3 + 150 * 100:
+            raise RuntimeError("busy")
+        return ["0.5"] * len(prompts)
+
+    got = annotate(asked, ["k"], fails_at_first).select("reply", "attempts", "gave_up").first()
+    assert tuple(got) == ("0.5", 151, False)
+    with pytest.raises(Exception, match="busy"):
+        annotate(asked, ["k"], fails_at_first, max_attempts=2).collect()
+
+
+def test_annotate_counts_the_replies(spark):
+    asked = build_prompts(spark.createDataFrame([(1, "a"), (2, "b")], "k int, text string"), "text", "Rate.")
+    with pytest.raises(Exception, match="3 replies"):
+        annotate(asked.repartition(1), ["k"], lambda p, b: ["0.5"] * 3).collect()

@@ -125,11 +125,38 @@ def test_evaluators(spark, vectors):
     assert set(got) == set(names) and all(0 <= v <= 1 for v in got.values())
 
 
-def test_min_count_is_raised_until_the_words_fit(spark):
-    words = [f"w{i}" for i in range(20) for _ in range(i + 1)]
-    df = spark.createDataFrame([(words,)], "t array<string>")
-    assert features.fitting_min_count(df, "t", 0, 1000) == 0
-    assert features.fitting_min_count(df, "t", 0, 5) == 16
-    assert features.fitting_min_count(df, "t", 18, 5) == 18
-    model = features.fit_embedding(df, "t", "e", size=2, num_partitions=1, max_words=5)
-    assert {r[0] for r in model.getVectors().collect()} == {f"w{i}" for i in range(15, 20)}
+def test_vectors_do_not_depend_on_cores_or_partitions(spark):
+    texts = [([f"w{(i * j) % 13}" for j in range(9)],) for i in range(40)]
+    df = spark.createDataFrame(texts, "t array<string>").withColumn("k", F.monotonically_increasing_id())
+    found = [
+        rows(features.counted_vectors(part, "t", 8, 2))
+        for part in (df.repartition(1), df.repartition(7))
+    ]
+    assert found[0] == found[1] and len(found[0]) > 13
+    assert features.fit_embedding(df, "t", "e", size=2).getVectors().count() == 13
+
+
+def test_too_many_words_are_an_error_and_never_dropped(spark, monkeypatch):
+    df = spark.createDataFrame([([f"w{i}" for i in range(51)],)], "t array<string>")
+    assert features.fit_embedding(df, "t", "e", size=2).getVectors().count() == 51
+    monkeypatch.setattr(features, "MOST_VALUES", 40)
+    with pytest.raises(ValueError, match="min_count"):
+        features.fit_embedding(df, "t", "e", size=2)
+
+
+def test_folds_keep_a_key_together(spark, vectors, monkeypatch):
+    seen = []
+    real = models.kept
+    monkeypatch.setattr(models, "kept", lambda df: seen.append(df) or real(df))
+    twice = vectors.union(vectors).withColumn("k", F.col("vec_id"))
+    for part in (twice.repartition(1), twice.repartition(7)):
+        models.search_linear(part, grid={"regParam": [0.1]}, folds=3, key=["k"])
+    folds = [sorted(r[0] for r in df.groupBy(models.FOLD).count().select("count").collect()) for df in seen]
+    assert folds[0] == folds[1] and all(n % 2 == 0 for n in folds[0]) and len(folds[0]) == 3
+
+
+def test_a_search_keeps_scaling_and_settings(spark, vectors):
+    found = models.search_linear(vectors, grid={"regParam": [0.1]}, folds=2, scaled=True, maxIter=3)
+    assert [type(s).__name__ for s in found.bestModel.stages] == ["StandardScalerModel", "LinearRegressionModel"]
+    params = {r["param"]: r["value"] for r in models.best_parameters(spark, found).collect()}
+    assert params["maxIter"] == "3"

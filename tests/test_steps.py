@@ -3,9 +3,11 @@
 import os
 import random
 
+import helpers
 import pytest
-
 from helpers import clean, rows, segments
+from pyspark import cloudpickle
+
 from textsignal import __main__ as command
 from textsignal import fixed_values as fixed
 from textsignal import steps
@@ -126,6 +128,38 @@ def test_command_line_reports(spark, study, capsys):
     assert "auc_roc" in capsys.readouterr().out
 
 
+def test_a_report_is_written_whole(spark, study, capsys):
+    root, paths, _, _ = study
+    path, out = str(root / "model_out"), str(root / "report")
+    command.main(["train", paths["labelled"], path, "--set", "regParam=0.1", "--seed", "7"])
+    command.main(["report", paths["labelled"], path, "--subjects", "trump", "biden", "--out", out, "--rows", "1", "--seed", "7"])
+    printed = capsys.readouterr().out
+    pairs = read_parquet(spark, f"{out}/actual_against_predicted").count()
+    assert f"actual_against_predicted: {pairs} rows" in printed and pairs > 1
+    assert read_parquet(spark, f"{out}/label_histogram").count() > 1
+    with pytest.raises(ValueError, match="search"):
+        steps.store_model(spark, paths["labelled"], path, "regression", "forest", search=True)
+
+
+def test_segments_to_labels_to_model_by_command_line(spark, study):
+    root, paths, _, n = study
+    cloudpickle.register_pickle_by_value(helpers)  # executors don't have the folder of the tests
+    at = {name: str(root / f"asked_{name}") for name in ("prompts", "replies", "labels", "labelled", "model", "csv", "terms", "mixture", "first")}
+    command.main(["prompts", paths["segments"], at["prompts"], "--instruction", "Rate it."])
+    command.main(["annotate", at["prompts"], at["replies"], "--scorer", "helpers:answer"])
+    command.main(["parse", at["replies"], at["labels"], "--subjects", "trump", "biden"])
+    labels = read_parquet(spark, at["labels"])
+    assert labels.count() == n and labels.where("label is null").count() == 0
+    command.main(["label", paths["features"], at["labels"], at["labelled"]])
+    command.main(["train", at["labelled"], at["model"], "--set", "regParam=0.5"])
+    command.main(["export", paths["segments"], at["csv"]])
+    command.main(["topics", paths["segments"], at["terms"], at["mixture"], "--k", "2"])
+    command.main(["contexts", paths["cleaned"], at["first"], "--subjects", "trump", "--first"])
+    assert read_parquet(spark, at["labelled"]).count() == n
+    assert read_parquet(spark, at["mixture"]).count() == 2 * n
+    assert "trump_context" in read_parquet(spark, at["first"]).columns
+
+
 def test_parsed_replies_serve_as_labels(spark, study, tmp_path):
     _, paths, _, n = study
     found = read_parquet(spark, paths["features"])

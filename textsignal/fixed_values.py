@@ -24,6 +24,8 @@ BLANK_CHARACTERS = " \t\n\x0b\f\r"  # a token of nothing else is blank
 # --- clean-up of text that goes into a labelling prompt -------------------------------
 # White space of any script counts as a gap between words, and so do the four separators.
 ANY_SPACE = r"\p{IsWhite_Space}\x1C-\x1F"
+PROMPT_PASSAGE = "\n        Segment: "  # between the instruction and the passage
+REPLY_FRAME = ("<s>[INST] ", " [/INST]")  # what some models put around the prompt they echo
 PROMPT_RESERVE = 400  # room for the reply on top of the words of the prompt
 BUDGET_STEP = 100  # added to the budget after every failed attempt
 
@@ -40,6 +42,8 @@ TOPICS = 5
 TOPIC_ITERATIONS = 10
 TOPIC_TERMS = 5
 EMBEDDING_SIZE = 100
+EMBEDDING_PARTITIONS = 1  # of Spark's estimator: its vectors depend on their number
+CONTEXT_WORDS = 5  # on each side of a word, for counted word vectors
 NEUTRAL_LABEL = 0.5
 HISTOGRAM_BINS = 50
 

@@ -12,7 +12,7 @@ from textsignal import fixed_values as fixed
 
 def prompt(text: Column, instruction: str) -> Column:
     """The instruction followed by the passage."""
-    return F.concat(F.lit(instruction), F.lit("\n        Segment: "), text)
+    return F.concat(F.lit(instruction), F.lit(fixed.PROMPT_PASSAGE), text)
 
 
 def token_budget(prompt_text: Column, reserve: int = fixed.PROMPT_RESERVE) -> Column:

@@ -30,18 +30,20 @@ def annotate(
     key: Sequence[str],
     scorer: Scorer,
     step: int = fixed.BUDGET_STEP,
-    max_attempts: int = 100,
+    max_attempts: int | None = None,
 ) -> DataFrame:
-    """Sends each prompt to the scorer: `[key, reply, attempts, seconds]`.
+    """Sends each prompt to the scorer: `[key, reply, attempts, gave_up, seconds]`.
 
     `df` has the columns of `build_prompts`. Rows go to the scorer in Arrow batches, in the
-    tasks that hold them; a prompt without a reply is tried again with `step` more budget. After
-    `max_attempts` the reply stays null and the row is kept. `seconds` is the time of the
-    batches a row took part in, divided among their rows.
+    tasks that hold them. A prompt without a reply is tried again with `step` more budget, and so
+    is a batch whose scorer raised an error, until all have a reply. With `max_attempts` a row is
+    given up after so many: its reply is null and `gave_up` is true, or, if the last attempt
+    raised an error, that error ends the job. `seconds` is the time of the batches a row took
+    part in, divided among their rows.
     """
     fields = {field.name: field.dataType.simpleString() for field in df.schema.fields}
     schema = ", ".join(
-        [f"`{k}` {fields[k]}" for k in key] + ["reply string", "attempts int", "seconds double"]
+        [f"`{k}` {fields[k]}" for k in key] + ["reply string", "attempts int", "gave_up boolean", "seconds double"]
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -50,11 +52,18 @@ def annotate(
             prompts, budgets = batch["prompt"].tolist(), batch["budget"].tolist()
             answers, attempts, seconds = [None] * n, [0] * n, [0.0] * n
             waiting = list(range(n))
-            for _ in range(max_attempts):
-                if not waiting:
-                    break
+            turn = 0
+            while waiting and (max_attempts is None or turn < max_attempts):
+                turn += 1
                 started = time.perf_counter()
-                got = scorer([prompts[i] for i in waiting], [budgets[i] for i in waiting])
+                try:
+                    got = scorer([prompts[i] for i in waiting], [budgets[i] for i in waiting])
+                except Exception:
+                    if turn == max_attempts:
+                        raise
+                    got = [None] * len(waiting)
+                if len(got) != len(waiting):
+                    raise ValueError(f"{len(got)} replies to {len(waiting)} prompts")
                 share = (time.perf_counter() - started) / len(waiting)
                 for i, answer in zip(waiting, got):
                     answers[i] = answer
@@ -62,36 +71,17 @@ def annotate(
                     seconds[i] += share
                     budgets[i] += step
                 waiting = [i for i in waiting if answers[i] is None]
-            yield batch[list(key)].assign(reply=answers, attempts=attempts, seconds=seconds)
+            yield batch[list(key)].assign(
+                reply=answers,
+                attempts=attempts,
+                gave_up=[answer is None for answer in answers],
+                seconds=seconds,
+            )
 
     asked = df.select(*dict.fromkeys([*key, "prompt", "budget"]))
     return asked.mapInPandas(run, schema)
 
 
-def rule_scorer(subjects: Sequence[str], need_per_word: int = 2) -> Scorer:
-    """A scorer for tests, without a model: rates by how often the subjects occur.
-
-    It fails while the budget is under `need_per_word` times the words of the prompt, and
-    echoes the prompt as some models do.
-    """
-
-    def score(prompts: Sequence[str], budgets: Sequence[int]) -> list[str | None]:
-        found: list[str | None] = []
-        for prompt, budget in zip(prompts, budgets):
-            words = prompt.split()
-            if budget < need_per_word * len(words):
-                found.append(None)
-                continue
-            counts = [words.count(subject) for subject in subjects]
-            most = max(counts)
-            name = subjects[counts.index(most)] if most else "neutral"
-            tenths = 5 + min(most, 4)
-            found.append(f"<s>[INST] {prompt} [/INST] 0.{tenths} {name} . Counted {most}")
-        return found
-
-    return score
-
-
 def parse_reply(
     df: DataFrame, reply: str, subjects: Sequence[str], echo: str | None = None
 ) -> DataFrame:
@@ -99,8 +89,9 @@ def parse_reply(
 
     `echo` names a prompt column whose echo is taken out of the reply.
     """
+    before, after = fixed.REPLY_FRAME
     echoed = (
-        F.concat(F.lit("<s>[INST] "), F.col(echo), F.lit(" [/INST]")) if echo else F.lit("")
+        F.concat(F.lit(before), F.col(echo), F.lit(after)) if echo else F.lit("")
     )
     return (
         df.withColumn("text", replies.normalise_reply(F.col(reply), echoed))

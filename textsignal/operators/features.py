@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from textsignal import fixed_values as fixed
 from textsignal.functions.vectors import as_array, as_vector
-from textsignal.operators.running import running_total
 from textsignal.operators.vocabulary import top_vocab, word_counts
 
-MOST_WORDS = 4_000_000
+#: Numbers that Spark's word vectors may have in all: they are held as one array.
+MOST_VALUES = 2**31 - 1
 
 
 @contextmanager
@@ -99,44 +99,36 @@ def topic_mixture(
     return topics.setTopicDistributionCol(out).transform(counter.transform(df))
 
 
-def fitting_min_count(df: DataFrame, tokens: str, min_count: int, max_words: int) -> int:
-    """The given count, or the lowest one that leaves at most `max_words` distinct words."""
-    words = df.select(F.explode_outer(tokens).alias("word"))
-    estimate = words.agg(F.approx_count_distinct("word")).first()[0]
-    if estimate < 0.8 * max_words:
-        return min_count
-    per_count = word_counts(df, tokens).groupBy("n").agg(F.count("*").alias("words"))
-    falling = per_count.withColumn("_down", -F.col("n"))
-    reached = running_total(falling, ["_down"], {"reached": "words"})
-    ends = reached.agg(
-        F.max("n").alias("highest"),
-        F.min(F.when(F.col("reached") <= max_words, F.col("n"))).alias("fitting"),
-    ).first()
-    return max(min_count, ends["fitting"] or ends["highest"] or 0)
-
-
 def fit_embedding(
     df: DataFrame,
     tokens: str,
     out: str,
     size: int = fixed.EMBEDDING_SIZE,
     min_count: int = 0,
-    num_partitions: int | None = None,
+    num_partitions: int = fixed.EMBEDDING_PARTITIONS,
     seed: int = 42,
-    max_words: int = MOST_WORDS,
 ) -> Word2VecModel:
-    """Fits word vectors. `num_partitions` defaults to the parallelism of the session.
+    """Fits word vectors with Spark's estimator.
 
-    Spark's estimator holds the vectors of all words on the driver and in every task. A
-    collection with more than `max_words` distinct words is fitted on the more frequent ones,
-    by raising `min_count` until they fit.
+    The vectors depend on `num_partitions`, so it is a plain number and not that of the cores. The
+    estimator holds the vectors of all words on the driver and in every task: a collection with more
+    than `MOST_VALUES` numbers in them is an error here, and `counted_vectors` the form for it. Words
+    are left out by `min_count` alone.
     """
-    parts = num_partitions or df.sparkSession.sparkContext.defaultParallelism
     with kept(df.select(tokens)) as sentences:
+        words = sentences.select(F.explode_outer(tokens).alias("word"))
+        if min_count > 1:
+            words = word_counts(sentences, tokens).where(F.col("n") >= min_count)
+        n = words.agg(F.approx_count_distinct("word")).first()[0]
+        if n * size > MOST_VALUES:
+            raise ValueError(
+                f"about {n} words x {size} are more than Spark's word vectors can hold: "
+                "give a larger min_count, or use counted_vectors"
+            )
         estimator = Word2Vec(
             vectorSize=size,
-            minCount=fitting_min_count(sentences, tokens, min_count, max_words),
-            numPartitions=parts,
+            minCount=min_count,
+            numPartitions=num_partitions,
             seed=seed,
             inputCol=tokens,
             outputCol=out,
@@ -144,13 +136,61 @@ def fit_embedding(
         return estimator.fit(sentences)
 
 
+def counted_vectors(
+    df: DataFrame, tokens: str, size: int, window: int = fixed.CONTEXT_WORDS
+) -> DataFrame:
+    """Word vectors from counts, as rows `[word, dim, value]` without zeros.
+
+    Every word up to `window` places away adds to the dimension of its hash, with the sign of its
+    hash and the weight `window` + 1 - distance; the value is the mean over the word's occurrences.
+    Words are never held together, neither on the driver nor in a task, and the same rows give the
+    same vectors however they are partitioned.
+    """
+    words = F.col(tokens)
+
+    def pairs_at(d: int) -> Column:
+        return F.transform(
+            F.slice(words, 1, F.greatest(F.size(words) - d, F.lit(0))),
+            lambda word, i: F.struct(
+                word.alias("a"), F.get(words, i + d).alias("b"), F.lit(window + 1 - d).alias("w")
+            ),
+        )
+
+    pairs = [pairs_at(d) for d in range(1, window + 1)]
+    near = df.select(F.explode_outer(F.concat(*pairs)).alias("_p")).where(F.col("_p").isNotNull())
+    both = near.groupBy("_p.a", "_p.b").agg(F.sum("_p.w").alias("w"))
+    both = both.select("a", "b", "w").union(both.select("b", "a", "w"))
+    digits = F.conv(F.substring(F.md5("b"), 1, 8), 16, 10).cast("long")
+    signed = F.when(F.floor(digits / size) % 2 == 0, F.col("w")).otherwise(-F.col("w"))
+    sums = both.groupBy(
+        F.col("a").alias("word"), (digits % size).cast("int").alias("dim")
+    ).agg(F.sum(signed).alias("_sum"))
+    counts = word_counts(df, tokens).select("word", "n")
+    return sums.where(F.col("_sum") != 0).join(counts, "word").select(
+        "word", "dim", (F.col("_sum") / F.col("n")).alias("value")
+    )
+
+
+def counted_embedding(
+    df: DataFrame, key: Sequence[str], tokens: str, vectors: DataFrame
+) -> DataFrame:
+    """The mean of the counted vectors of each row's tokens: `[key, dim, value]` without zeros."""
+    size = F.size(tokens)
+    each = df.select(*key, size.alias("_size"), F.explode_outer(tokens).alias("word"))
+    words = each.where(F.col("word").isNotNull()).groupBy(*key, "_size", "word").count()
+    summed = words.join(vectors, "word").groupBy(*key, "_size", "dim").agg(
+        F.sum(F.col("count") * F.col("value")).alias("_sum")
+    )
+    return summed.select(*key, "dim", (F.col("_sum") / F.col("_size")).alias("value"))
+
+
 def embed(
     df: DataFrame,
     tokens: str,
     out: str,
     size: int = fixed.EMBEDDING_SIZE,
     min_count: int = 0,
-    num_partitions: int | None = None,
+    num_partitions: int = fixed.EMBEDDING_PARTITIONS,
     seed: int = 42,
 ) -> DataFrame:
     """Adds the mean of the fitted word vectors of each token array; zeros for an empty one."""

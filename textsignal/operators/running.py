@@ -8,13 +8,13 @@ total of the ranges before its own.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_PER_RANGE = 100
-MOST_RANGES = 400
 
 
 def _split_points(keys: DataFrame, key: Column, ranges: int) -> DataFrame:
@@ -41,6 +41,22 @@ def _split_points(keys: DataFrame, key: Column, ranges: int) -> DataFrame:
     return sample.select(F.filter(points, lambda point: point.isNotNull()).alias("points"))
 
 
+def _block(ranges: int) -> int:
+    return max(1, math.isqrt(ranges))
+
+
+def _range_of(points: Column, lasts: Column, key: Column, ranges: int) -> Column:
+    """How many of the sorted points are below the key, by two short scans.
+
+    The points are taken in blocks of about the root of their number: first the last point of each
+    block is compared, then the points of the one block that is left.
+    """
+    block = _block(ranges)
+    full = F.size(F.filter(lasts, lambda point: point < key))
+    rest = F.slice(points, full * block + 1, F.lit(block))
+    return full * block + F.size(F.filter(rest, lambda point: point < key))
+
+
 def running_total(
     df: DataFrame,
     order: Sequence[str],
@@ -56,18 +72,19 @@ def running_total(
     total includes the row itself. The counts must not be negative. Pass a narrow frame: with
     only these columns, the totals of the ranges are read from the same shuffle as the rows.
 
-    `ranges` defaults to the number of shuffle partitions, so it grows with the cluster up to
-    `MOST_RANGES`. `keys` may name a cheaper frame with the same keys, repeated or not, to
+    `ranges` defaults to the number of shuffle partitions, so it grows with the cluster.
+    `keys` may name a cheaper frame with the same keys, repeated or not, to
     sample from. Rows that share a key follow one another in any order; with `unique` they
     make the query fail instead.
     """
     if ranges is None:
-        configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranges = min(configured, MOST_RANGES)
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = (df if keys is None else keys).select(*partition, *order)
     sorted_by = [*partition, *order]
     key = F.struct(*sorted_by) if len(sorted_by) > 1 else F.col(sorted_by[0])
-    points = _split_points(keys, key, ranges)
+    block = _block(ranges)
+    lasts = F.filter("points", lambda _, i: i % block == block - 1)
+    points = _split_points(keys, key, ranges).select(F.struct("points", lasts.alias("lasts")))
     group = F.struct(*partition) if partition else F.lit(0)
     others = [c for c in df.columns if c not in partition]
     placed = df.select(
@@ -77,7 +94,8 @@ def running_total(
         "_group",
         # Never null, and known to be, so that both readers below keep one and the same shuffle.
         F.coalesce(
-            F.size(F.filter("_points", lambda point: point < F.col("_key"))), F.lit(0)
+            _range_of(F.col("_points.points"), F.col("_points.lasts"), F.col("_key"), ranges),
+            F.lit(0),
         ).alias("_range"),
     )
     in_order = Window.partitionBy("_group", "_range").orderBy(*order)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 HASH_DIGITS = 8
 
 
-def key_hash(key: Sequence[str], seed: int) -> Column:
+def key_hash(key: Sequence[str], seed: int | str) -> Column:
     """Hex digest of seed and key; the same on every engine that has md5."""
     parts = [F.col(k).cast("string") for k in key]
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
@@ -27,7 +27,7 @@ def bounds(weights: Sequence[float]) -> list[str]:
     return found
 
 
-def split_number(key: Sequence[str], weights: Sequence[float], seed: int = 42) -> Column:
+def split_number(key: Sequence[str], weights: Sequence[float], seed: int | str = 42) -> Column:
     """Number, from 0, of the part that the key falls into."""
     digits = F.substring(key_hash(key, seed), 1, HASH_DIGITS)
     number = F.lit(0)

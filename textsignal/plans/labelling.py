@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textsignal import fixed_values as fixed
 from textsignal.functions import replies
 from textsignal.functions.text import letters_only
-from textsignal.operators.annotate import annotate, build_prompts, parse_reply, rule_scorer
+from textsignal.operators.annotate import annotate, build_prompts, parse_reply
 from textsignal.operators.labels import attach_labels, binarize, mean_labels, random_label
 from textsignal.operators.lexicon import lexicon_score
 from textsignal.operators.running import row_numbers
@@ -16,6 +16,7 @@ from textsignal.operators.split import key_hash, shuffle, split_number, spread
 from textsignal.operators.summaries import distribution, histogram, summary
 from textsignal.plans import inputs
 from textsignal.plans.registry import query
+from textsignal.plans.rule_scorer import rule_scorer
 
 
 @query(f"""
@@ -177,10 +178,11 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # A reply made from each turn: a rating that depends on the turn, a subject and the text.
-_REPLY_SQL = """
+_BEFORE, _AFTER = fixed.REPLY_FRAME
+_REPLY_SQL = f"""
 replies AS (
-  SELECT conv_id, turn, '<s>[INST] ' || role || ' [/INST]' AS echo,
-         '<s>[INST] ' || role || ' [/INST]  ' ||
+  SELECT conv_id, turn, '{_BEFORE}' || role || '{_AFTER}' AS echo,
+         '{_BEFORE}' || role || '{_AFTER}  ' ||
          CASE turn % 3 WHEN 0 THEN '0.' || (conv_id % 10) || ' Trump . '
                        WHEN 1 THEN 'Rating: 1 both . '
                        ELSE 'neutral 1.25 . ' END || text || ' ' AS reply
@@ -194,7 +196,7 @@ def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(turn == 1, F.lit("Rating: 1 both . "))
         .otherwise(F.lit("neutral 1.25 . "))
     )
-    echo = F.concat(F.lit("<s>[INST] "), F.col("role"), F.lit(" [/INST]"))
+    echo = F.concat(F.lit(_BEFORE), F.col("role"), F.lit(_AFTER))
     return inputs.table(spark, sf_dir, "conversations").select(
         "conv_id",
         "turn",

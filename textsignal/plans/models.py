@@ -10,7 +10,6 @@ from textsignal.operators import features, models
 from textsignal.operators.evaluation import regression_metrics
 from textsignal.operators.mentions import mention_flags
 from textsignal.operators.split import hash_split
-from textsignal.operators.stored import stored
 from textsignal.operators.summaries import class_shares, win_score
 from textsignal.plans import inputs
 from textsignal.plans.registry import query
@@ -21,13 +20,13 @@ SEGMENT = ["source", "segment_id"]
 
 @query()
 def topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counter, topics = features.topic_model(stored(inputs.segments(spark, sf_dir)), "segment")
+    counter, topics = features.topic_model(inputs.segments(spark, sf_dir), "segment")
     return features.topic_terms(counter, topics)
 
 
 @query()
 def topic_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = stored(inputs.segments(spark, sf_dir))
+    cut = inputs.segments(spark, sf_dir)
     counter, topics = features.topic_model(cut, "segment")
     mixed = features.topic_mixture(cut, counter, topics)
     return features.elements(mixed, SEGMENT, "mixture", "share")
@@ -35,16 +34,44 @@ def topic_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def segment_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    embedded = features.embed(stored(inputs.segments(spark, sf_dir)), "segment", "embedding")
-    vector = as_vector(as_array(F.col("embedding")))
-    return embedded.select(*SEGMENT, F.size(as_array(vector)).alias("size"))
+    embedded = features.embed(inputs.segments(spark, sf_dir), "segment", "embedding")
+    return features.elements(embedded, SEGMENT, "embedding", "value")
+
+
+COUNTED_SIZE = 32
+COUNTED_WINDOW = 2
+
+
+@query(rf"""
+WITH {inputs.SEGMENTS_SQL},
+near AS (
+  SELECT segment[i] AS a, segment[i + d] AS b, {COUNTED_WINDOW} + 1 - d AS w
+  FROM (SELECT segment, d, unnest(range(1, len(segment) - d + 1)) AS i
+        FROM segments, (SELECT unnest(range(1, {COUNTED_WINDOW} + 1)) AS d))),
+both_ways AS (SELECT a, b, w FROM near UNION ALL SELECT b, a, w FROM near),
+hashed AS (
+  SELECT a AS word, CAST(CAST('0x' || substr(md5(b), 1, 8) AS BIGINT) AS BIGINT) AS h, w FROM both_ways),
+sums AS (
+  SELECT word, h % {COUNTED_SIZE} AS dim,
+    sum(CASE WHEN (h // {COUNTED_SIZE}) % 2 = 0 THEN w ELSE -w END) AS total
+  FROM hashed GROUP BY word, h % {COUNTED_SIZE}),
+words AS (SELECT source, segment_id, len(segment) AS size, unnest(segment) AS word FROM segments),
+counts AS (SELECT word, count(*) AS n FROM words GROUP BY word),
+vectors AS (SELECT word, dim, total / n::DOUBLE AS value FROM sums JOIN counts USING (word) WHERE total <> 0)
+SELECT source, segment_id, CAST(dim AS INTEGER) AS dim, round(sum(value) / size + 0.0, 6) AS value
+FROM words JOIN vectors USING (word) GROUP BY source, segment_id, size, dim""")
+def counted_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = inputs.segments(spark, sf_dir)
+    vectors = features.counted_vectors(cut, "segment", COUNTED_SIZE, COUNTED_WINDOW)
+    found = features.counted_embedding(cut, SEGMENT, "segment", vectors)
+    return found.withColumn("value", F.round(F.col("value") + 0.0, 6))
 
 
 @query()
 def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = mention_flags(inputs.segments(spark, sf_dir), "segment", inputs.SUBJECTS)
-    found = features_of_segments(stored(flagged), inputs.lexicon(spark), SEGMENT)
-    return found.withColumn("size", F.size(as_array(F.col("features")))).drop("features")
+    found = features_of_segments(flagged, inputs.lexicon(spark), SEGMENT)
+    return features.elements(found, SEGMENT, "features", "value")
 
 
 @query("""
@@ -124,23 +151,23 @@ def evaluator_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def grid_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = hash_split(inputs.embedded(spark, sf_dir), ["vec_id"], [0.7, 0.3])
-    return models.search_results(spark, models.search_linear(train))
+    return models.search_results(spark, models.search_linear(train, key=["vec_id"]))
 
 
 @query()
 def grid_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = hash_split(inputs.embedded(spark, sf_dir), ["vec_id"], [0.8, 0.2])
-    return models.search_results(spark, models.search_forest(train))
+    return models.search_results(spark, models.search_forest(train, key=["vec_id"]))
 
 
 @query()
 def best_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = hash_split(inputs.embedded(spark, sf_dir), ["vec_id"], [0.7, 0.3])
-    best = models.search_linear(train).bestModel
+    best = models.search_linear(train, key=["vec_id"]).bestModel
     return win_score(best.transform(test), "prediction", ("a", "b"))
 
 
 @query()
 def best_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = hash_split(inputs.embedded(spark, sf_dir), ["vec_id"], [0.7, 0.3])
-    return models.best_parameters(spark, models.search_linear(train))
+    return models.best_parameters(spark, models.search_linear(train, key=["vec_id"]))

@@ -17,12 +17,21 @@ from pyspark.sql import functions as F
 from textsignal import fixed_values as fixed
 from textsignal.functions.mentions import first_context, first_position
 from textsignal.operators import evaluation, features, models
+from textsignal.operators.annotate import Scorer, annotate, build_prompts, parse_reply
 from textsignal.operators.labels import attach_labels, binarize
 from textsignal.operators.lexicon import lexicon_score
 from textsignal.operators.mentions import mention_contexts, mention_flags
 from textsignal.operators.segments import segment_tokens
 from textsignal.operators.split import hash_split
-from textsignal.operators.summaries import complement_scores, win_report, win_score
+from textsignal.operators.summaries import (
+    class_shares,
+    complement_scores,
+    distribution,
+    histogram,
+    summary,
+    win_report,
+    win_score,
+)
 from textsignal.operators.tokens import clean_documents, tokenize
 from textsignal.operators.vocabulary import top_vocab, used_words
 from textsignal.sources.readers import (
@@ -31,7 +40,7 @@ from textsignal.sources.readers import (
     read_lexicon,
     read_parquet,
 )
-from textsignal.sources.writers import write_parquet
+from textsignal.sources.writers import export_csv, write_parquet
 
 SHOW = "podcast_name_cleaned"
 SEGMENT = [SHOW, "segment_id"]
@@ -72,10 +81,16 @@ def store_segments(
 
 def store_contexts(
     spark: SparkSession, cleaned_path: str, contexts_path: str, subjects: Sequence[str],
-    radius: int = fixed.CONTEXT_RADIUS,
+    radius: int = fixed.CONTEXT_RADIUS, first: bool = False,
 ) -> None:
-    """All passages of the cleaned documents that mention a subject, one row per mention."""
+    """All passages of the cleaned documents that mention a subject, one row per mention.
+
+    With `first`, the documents with their first position and context per subject instead.
+    """
     cleaned = read_parquet(spark, cleaned_path)
+    if first:
+        write_parquet(with_first_contexts(cleaned, subjects), contexts_path)
+        return
     found = mention_contexts(
         cleaned, [SHOW, "file_name"], "filtered_tokens", subjects, radius
     )
@@ -91,7 +106,9 @@ def features_of_segments(
     """
     key = list(key)
     with features.kept(segments) as cut:
-        vocabulary = top_vocab(cut, "segment")
+        # The k words, counted once: a bounded table that the driver holds.
+        words = top_vocab(cut, "segment").select("word", "rank").collect()
+        vocabulary = cut.sparkSession.createDataFrame(words, "word string, rank int")
         used = used_words(cut, key, "segment", vocabulary)
         scores = lexicon_score(cut, key, "segment", lexicon)
         described = cut.join(scores, key).join(used, key)
@@ -112,14 +129,62 @@ def store_features(
     write_parquet(found, features_path)
 
 
+def store_topics(
+    spark: SparkSession, segments_path: str, terms_path: str, mixture_path: str,
+    k: int = fixed.TOPICS, seed: int = 42,
+) -> None:
+    """The heaviest words of the topics of all segments, and each segment's share of them."""
+    cut = read_parquet(spark, segments_path)
+    counter, topics = features.topic_model(cut, "segment", k, seed=seed)
+    write_parquet(features.topic_terms(counter, topics), terms_path)
+    mixed = features.topic_mixture(cut, counter, topics)
+    write_parquet(features.elements(mixed, SEGMENT, "mixture", "share"), mixture_path)
+
+
+def store_prompts(
+    spark: SparkSession, segments_path: str, prompts_path: str, instruction: str
+) -> None:
+    """Labelling, first part: a prompt and its budget for each segment."""
+    cut = read_parquet(spark, segments_path)
+    text = cut.select(*SEGMENT, F.array_join("segment", " ").alias("text"))
+    asked = build_prompts(text, "text", instruction)
+    write_parquet(asked.select(*SEGMENT, "prompt", "budget"), prompts_path)
+
+
+def store_replies(
+    spark: SparkSession, prompts_path: str, replies_path: str, scorer: Scorer,
+    max_attempts: int | None = None,
+) -> None:
+    """Second part: the scorer's replies; without `max_attempts` each prompt is asked until it has one."""
+    asked = read_parquet(spark, prompts_path)
+    write_parquet(
+        annotate(asked, [*SEGMENT, "prompt"], scorer, max_attempts=max_attempts), replies_path
+    )
+
+
+def store_parsed_labels(
+    spark: SparkSession, replies_path: str, labels_path: str, subjects: Sequence[str]
+) -> None:
+    """Third part: the ratings as a label table. Replies without a rating have a null label."""
+    parsed = parse_reply(read_parquet(spark, replies_path), "reply", subjects, echo="prompt")
+    write_parquet(
+        parsed.select(*SEGMENT, F.col("rating").alias("label"), "sentiment"), labels_path
+    )
+
+
+def store_export(spark: SparkSession, segments_path: str, csv_path: str) -> None:
+    """The segments as a CSV file that a person can label."""
+    export_csv(read_parquet(spark, segments_path), csv_path)
+
+
 def store_labelled(
     spark: SparkSession, features_path: str, labels_path: str, labelled_path: str,
     mode: str = "all",
 ) -> None:
-    """Step 3."""
-    labelled = attach_labels(
-        read_parquet(spark, features_path), read_labels(spark, labels_path), SEGMENT, mode=mode
-    )
+    """Step 3. Labels are a CSV file, or a table of `store_parsed_labels`."""
+    csv = labels_path.endswith(".csv")
+    labels = read_labels(spark, labels_path) if csv else read_parquet(spark, labels_path)
+    labelled = attach_labels(read_parquet(spark, features_path), labels, SEGMENT, mode=mode)
     write_parquet(labelled, labelled_path)
 
 
@@ -135,20 +200,29 @@ def split_rows(
 def store_model(
     spark: SparkSession, labelled_path: str, model_path: str, task: str = "regression",
     kind: str = "linear", neutral: str = "drop", scaled: bool = False, search: bool = False,
-    **params,
+    train_share: float = 0.7, split_seed: int = 42, **params,
 ) -> None:
-    """Step 4. With `search`, the best of the default grid (linear regression, forest classes)."""
+    """Step 4. With `search`, the best of the default grid (linear regression, forest classes).
+
+    A search keeps `scaled` and all settings, and its folds keep a segment together; for another
+    kind of model there is no grid, and a search is refused.
+    """
+    searched = {"regression": "linear", "classification": "forest"}.get(task)
+    if search and kind != searched:
+        raise ValueError(f"a search for {task} is over {searched!r} models, not {kind!r}")
     labelled = read_parquet(spark, labelled_path)
     if task == "regression":
-        train, _ = split_rows(labelled, neutral="zero")
+        train, _ = split_rows(labelled, "zero", train_share, split_seed)
         if search:
-            model = models.as_pipeline(models.search_linear(train).bestModel)
+            found = models.search_linear(train, key=SEGMENT, scaled=scaled, **params)
+            model = models.as_pipeline(found.bestModel)
         else:
             model = models.fit_regression(train, kind, scaled=scaled, **params)
     elif task == "classification":
-        train, _ = split_rows(labelled, neutral)
+        train, _ = split_rows(labelled, neutral, train_share, split_seed)
         if search:
-            model = models.as_pipeline(models.search_forest(train).bestModel)
+            found = models.search_forest(train, key=SEGMENT, scaled=scaled, **params)
+            model = models.as_pipeline(found.bestModel)
         else:
             model = models.fit_classifier(train, kind, scaled=scaled, **params)
     else:
@@ -158,13 +232,17 @@ def store_model(
 
 def report(
     spark: SparkSession, labelled_path: str, model_path: str, subjects: tuple[str, str],
-    task: str = "regression", neutral: str = "drop",
+    task: str = "regression", neutral: str = "drop", train_share: float = 0.7,
+    split_seed: int = 42,
 ) -> dict[str, DataFrame]:
-    """Step 5. Tables by name, on the test rows. Each table is small."""
+    """Step 5. Tables by name, on the test rows.
+
+    `roc`, `pr` and the pair counts have a row for each distinct score or pair, up to one a test row.
+    """
     labelled = read_parquet(spark, labelled_path)
     first, second = subjects
     if task == "regression":
-        _, test = split_rows(labelled, neutral="zero")
+        _, test = split_rows(labelled, "zero", train_share, split_seed)
         scored = models.load(model_path).transform(test)
         missed = evaluation.residuals(scored, "label", "prediction")
         return {
@@ -174,8 +252,11 @@ def report(
             ),
             "actual_against_predicted": evaluation.pair_counts(scored, "label", "prediction", 0.02),
             "residuals": evaluation.pair_counts(missed, "prediction", "residual", 0.02),
+            "labels": distribution(labelled, "label"),
+            "label_summary": summary(labelled, "label"),
+            "label_histogram": histogram(labelled, "label"),
         }
-    _, test = split_rows(labelled, neutral)
+    _, test = split_rows(labelled, neutral, train_share, split_seed)
     predicted = models.load(model_path).transform(test)
     scored = models.class_probabilities(predicted, [second, first])
     positive = f"prob_{first}"
@@ -185,6 +266,8 @@ def report(
         "confusion": evaluation.confusion_wide(scored, "binary_label", "prediction"),
         "areas": evaluation.areas(scored, "binary_label", positive),
         "roc": evaluation.roc_points(scored, "binary_label", positive),
+        "pr": evaluation.pr_points(scored, "binary_label", positive),
+        "classes": class_shares(scored, "prediction", {0.0: second, 1.0: first}),
         "win_report": win_report(
             scored, "prediction", {first: (1.0, positive), second: (0.0, f"prob_{second}")}
         ),
