@@ -239,6 +239,13 @@ def attach_by_array(df: DataFrame, extra: DataFrame, array: str) -> DataFrame:
     """Joins columns of another frame where the arrays are equal, without multiplying rows.
 
     Only for frames that share no key. The other frame is reduced to one row per array first;
-    equal arrays must carry equal values there.
+    equal arrays must carry equal values there. Rows are brought together by a digest of the array,
+    and then the arrays are compared; an array that very many rows share is split by Spark, because
+    both sides are shuffled for the join alone.
     """
-    return df.join(extra.dropDuplicates([array]), array)
+    digest = F.xxhash64(array)
+    once = extra.dropDuplicates([array]).withColumn("_digest", digest)
+    named = once.withColumnRenamed(array, "_array")
+    found = df.withColumn("_digest", digest).join(named, "_digest")
+    same = found.where(F.col(array).eqNullSafe(F.col("_array")))
+    return same.select(array, *[c for c in df.columns if c != array], *[c for c in extra.columns if c != array])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textsignal.operators import evaluation, summaries
+from textsignal.operators import evaluation, models, summaries
 from textsignal.plans import inputs
 from textsignal.plans.registry import query
 
@@ -264,3 +264,29 @@ SELECT round((tpr + tnr) / 2, 6) AS auc_hard FROM rates""")
 def auc_hard(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = evaluation.auc(inputs.scored_documents(spark, sf_dir), "label", "prediction")
     return found.select(F.round("auc_roc", 6).alias("auc_hard"))
+
+
+@query(f"""
+WITH areas AS ({_areas_sql(_ITEM_CURVE)})
+SELECT 'areaUnderROC' AS metric, auc_roc AS value FROM areas""")
+def evaluator_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = inputs.scored_items(spark, sf_dir).withColumn("rawPrediction", F.col("label"))
+    found = models.evaluate(spark, items, "returned", ["areaUnderROC"])
+    return _rounded(found, ["value"])
+
+
+@query(f"""
+WITH {_CLASSES_SQL},
+metrics AS (
+  SELECT sum(hits) / sum(support) AS accuracy,
+         sum(support * precision) / sum(support) AS precision,
+         sum(support * recall) / sum(support) AS recall, sum(support * f1) / sum(support) AS f1
+  FROM with_f1)
+SELECT 'accuracy' AS metric, round(accuracy, 6) AS value FROM metrics
+UNION ALL SELECT 'weightedPrecision', round(precision, 6) FROM metrics
+UNION ALL SELECT 'weightedRecall', round(recall, 6) FROM metrics
+UNION ALL SELECT 'f1', round(f1, 6) FROM metrics""")
+def evaluator_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = inputs.scored_documents(spark, sf_dir)
+    names = ["accuracy", "weightedPrecision", "weightedRecall", "f1"]
+    return _rounded(models.evaluate(spark, scored, "label", names), ["value"])

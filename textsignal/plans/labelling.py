@@ -113,7 +113,7 @@ SELECT CASE WHEN substr(md5('42:' || doc_id), 1, 8) < 'cccccccc' THEN 0 ELSE 1 E
        count(*) AS n
 FROM documents GROUP BY 1""")
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = inputs.documents(spark, sf_dir)
+    documents = inputs.table(spark, sf_dir, "documents")
     part = split_number(["doc_id"], [0.8, 0.2]).alias("part")
     return documents.groupBy(part).agg(F.count("*").alias("n"))
 
@@ -122,7 +122,7 @@ def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS place
 FROM documents""")
 def shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.documents(spark, sf_dir).select(
+    rows = inputs.table(spark, sf_dir, "documents").select(
         "doc_id", key_hash(["doc_id"], 42).alias("hash")
     )
     return row_numbers(rows, ["hash", "doc_id"], out="place").select("doc_id", "place")
@@ -130,14 +130,14 @@ def shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, source FROM documents")
 def shuffled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.documents(spark, sf_dir).select("doc_id", "source")
+    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", "source")
     return shuffle(spread(rows, ["doc_id"]), ["doc_id"])
 
 
 @query("""
 SELECT doc_id, CAST(substr(md5('0:' || doc_id), 1, 1) < '8' AS INTEGER) AS label FROM documents""")
 def random_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return random_label(inputs.documents(spark, sf_dir).select("doc_id"), ["doc_id"])
+    return random_label(inputs.table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])
 
 
 # --- prompts and replies ----------------------------------------------------------------

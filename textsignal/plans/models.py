@@ -171,3 +171,78 @@ def best_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def best_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = hash_split(inputs.embedded(spark, sf_dir), ["vec_id"], [0.7, 0.3])
     return models.best_parameters(spark, models.search_linear(train, key=["vec_id"]))
+
+
+# --- forms with a known answer, to check the fits by SQL ---------------------------------
+
+
+@query(f"""
+WITH {inputs.SEGMENTS_SQL},
+counts AS (
+  SELECT word, count(*) AS n, count(DISTINCT (source, segment_id)) AS documents
+  FROM (SELECT source, segment_id, unnest(segment) AS word FROM segments) GROUP BY word),
+vocab AS (
+  SELECT word, row_number() OVER (ORDER BY n DESC, word) - 1 AS dim
+  FROM counts WHERE documents >= 3 ORDER BY n DESC, word LIMIT 100)
+SELECT source, segment_id, CAST(dim AS INTEGER) AS dim, CAST(count(*) AS DOUBLE) AS n
+FROM (SELECT source, segment_id, unnest(segment) AS word FROM segments) JOIN vocab USING (word)
+GROUP BY source, segment_id, dim""")
+def count_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = inputs.segments(spark, sf_dir)
+    counted = features.term_counts(cut, "segment").transform(cut)
+    return features.elements(counted, SEGMENT, "term_counts", "n").where(F.col("n") > 0)
+
+
+@query(f"""
+WITH {inputs.SEGMENTS_SQL},
+words AS (SELECT source, segment_id, unnest(segment) AS word FROM segments),
+counts AS (
+  SELECT word, count(*) AS n, count(DISTINCT (source, segment_id)) AS documents FROM words GROUP BY word),
+vocab AS (SELECT word FROM counts WHERE documents >= 3 ORDER BY n DESC, word LIMIT 100)
+SELECT s.source, s.segment_id, CASE WHEN count(v.word) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS total
+FROM segments s LEFT JOIN words w ON s.source = w.source AND s.segment_id = w.segment_id
+LEFT JOIN vocab v ON w.word = v.word GROUP BY s.source, s.segment_id""")
+def topic_shares_add_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shares = topic_mixture(spark, sf_dir)
+    return shares.groupBy(*SEGMENT).agg(F.round(F.sum("share"), 6).alias("total"))
+
+
+@query(f"""
+WITH {inputs.SEGMENTS_SQL}, {inputs.LEXICON_SQL}
+SELECT source, segment_id, 201 AS size, CAST(sum(coalesce(score, 0)) AS DOUBLE) AS score
+FROM (SELECT source, segment_id, unnest(segment) AS word FROM segments
+  WHERE {" OR ".join(f"list_contains(segment, '{s}')" for s in inputs.SUBJECTS)}) LEFT JOIN lexicon USING (word)
+GROUP BY source, segment_id""")
+def assembled_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = assembled_features(spark, sf_dir)
+    return found.groupBy(*SEGMENT).agg(
+        F.count("*").cast("int").alias("size"),
+        F.max(F.when(F.col("dim") == 0, F.col("value"))).alias("score"),
+    )
+
+
+@query("""
+SELECT count(*) AS n, CAST(sum(CAST(label >= 5 AS INTEGER)) AS BIGINT) AS ones,
+       CAST(sum(CAST(label >= 5 AS INTEGER)) AS DOUBLE) AS total
+FROM embeddings WHERE substr(md5('42:' || vec_id), 1, 8) < 'b3333333'""")
+def logistic_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a penalty, the probabilities of the training rows add up to their ones."""
+    train, _ = hash_split(inputs.embedded(spark, sf_dir), ["vec_id"], [0.7, 0.3])
+    model = models.fit_classifier(train, maxIter=200, tol=1e-12)
+    scored = models.class_probabilities(model.transform(train), ["b", "a"])
+    return scored.agg(
+        F.count("*").alias("n"),
+        F.sum("binary_label").cast("long").alias("ones"),
+        F.round(F.sum("prob_a"), 2).alias("total"),
+    )
+
+
+@query(f"""
+WITH {inputs.SCORED_ITEMS_SQL}
+SELECT 'mae' AS metric, round(avg(abs(label - prediction)), 6) AS value FROM items
+UNION ALL SELECT 'mse', round(avg((label - prediction) * (label - prediction)), 6) FROM items
+UNION ALL SELECT 'rmse', round(sqrt(avg((label - prediction) * (label - prediction))), 6) FROM items""")
+def evaluator_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = inputs.scored_items(spark, sf_dir)
+    found = models.evaluate(spark, items, "label", ["mae", "mse", "rmse"])
+    return found.withColumn("value", F.round("value", 6))

@@ -256,7 +256,7 @@ SELECT source, count(*) AS n,
        count(*) / CAST((SELECT count(*) FROM documents) AS DOUBLE) * 100 AS share
 FROM documents GROUP BY source""")
 def show_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return distribution(inputs.documents(spark, sf_dir), "source")
+    return distribution(inputs.table(spark, sf_dir, "documents"), "source")
 
 
 @query(f"""
@@ -322,7 +322,7 @@ def lines_to_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, row_number() OVER (ORDER BY source, doc_id) AS row_num FROM documents")
 def global_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.documents(spark, sf_dir).select("source", "doc_id")
+    rows = inputs.table(spark, sf_dir, "documents").select("source", "doc_id")
     return row_numbers(rows, ["source", "doc_id"]).select("doc_id", "row_num")
 
 
@@ -330,13 +330,13 @@ def global_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS row_num
 FROM documents""")
 def row_number_per_show(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.documents(spark, sf_dir).select("source", "doc_id")
+    rows = inputs.table(spark, sf_dir, "documents").select("source", "doc_id")
     return row_numbers(rows, ["doc_id"], ["source"])
 
 
 @query("SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 20")
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.documents(spark, sf_dir).select("doc_id", "source").orderBy("doc_id").limit(20)
+    return inputs.table(spark, sf_dir, "documents").select("doc_id", "source").orderBy("doc_id").limit(20)
 
 
 @query("""
