@@ -42,13 +42,13 @@ SHARE = 80
 #: The sampled part of all shingles, in 64ths; more than 100 - `SHARE` per cent.
 SAMPLED = 32
 #: Shingles in a group that counts them.
-PER_GROUP = 500_000
+PER_GROUP = 250_000
 #: Documents that tell frequent shingles, and the part of them, in per mille, that makes one so.
 PROBE = 10_000
 FREQUENT = 20
 #: Sets, and shingles, that one task compares; and sets that all blocks of a group meet.
 BLOCK_SETS = 1500
-BLOCK_SHINGLES = 3_000_000
+BLOCK_SHINGLES = 1_500_000
 MEET = 64
 
 NEVER = 2**31 - 1

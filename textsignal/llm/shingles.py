@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 #: Bytes of text handled at once.
-PIECE = 1 << 21
+PIECE = 1 << 20
 WORDS = 5
 
 _ROOT = 0x9E3779B97F4A7C15
