@@ -37,7 +37,7 @@ NAME = r"\p{Lu}\p{Ll}{1,30}(?:-\p{Lu}\p{Ll}{1,30})?"
 FORMS = {
     "block": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[\s\S]{1,9999}?-----END [A-Z ]{0,20}PRIVATE KEY-----",
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)++",
-    "assigned": r"(?i:password|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key)\"?\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_\-]{8,}+",
+    "assigned": r"(?i:[a-z_\-]{0,20}?(?:password|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key))\"?\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_\-]{8,}+",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}|\bsk-[A-Za-z0-9]{20,}|\bxox[abprs]-[A-Za-z0-9\-]{10,}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)",
@@ -47,7 +47,22 @@ FORMS = {
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
     "person": "(?<![\\p{L}\\p{N}])(?:" + "|".join(t for ts in TITLES.values() for t in ts) + rf")\.? {NAME}(?: {NAME})?(?!\p{{L}})",
 }
-PATTERN = "|".join(f"(?:{form})" for form in FORMS.values())
+#: What an entity of a form can begin with, so that most forms are tried in few places only.
+STARTS = {
+    "block": "-",
+    "assigned": "[A-Za-z]",
+    "key": "[A-Zgsx]",
+    "iban": "[A-Z]",
+    "ip": r"\d",
+    "card": r"\d",
+    "phone": r"[\d+(]",
+    "ssn": r"\d",
+    "person": r"[\p{Lu}г]",
+}
+#: All forms; none begins inside a word.
+PATTERN = r"(?<![\p{L}\p{N}])(?:" + "|".join(
+    (f"(?={STARTS[name]})" if name in STARTS else "") + f"(?:{form})" for name, form in FORMS.items()
+) + ")"
 
 #: Names by gender for Latin and Cyrillic script, and syllables that make family names.
 FIRST = {
