@@ -34,12 +34,16 @@ TITLES = {
     "n": ["Dr", "Prof"],
 }
 NAME = r"\p{Lu}\p{Ll}{1,30}(?:-\p{Lu}\p{Ll}{1,30})?"
+#: What an assigned secret follows, up to its opening quote; it may stand at the end of a longer name.
+ASSIGNED = r"(?i:password|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key)\\?[\"']?\s{0,3}[=:]\s{0,3}"
 FORMS = {
-    "block": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[\s\S]{1,9999}?-----END [A-Z ]{0,20}PRIVATE KEY-----",
+    "block": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[\s\S]+?-----END [A-Z ]{0,20}PRIVATE KEY-----",
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)++",
-    "assigned": r"(?i:[a-z_\-]{0,20}?(?:password|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key))\"?\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_\-]{8,}+",
-    "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}|\bsk-[A-Za-z0-9]{20,}|\bxox[abprs]-[A-Za-z0-9\-]{10,}",
-    "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
+    # Up to the closing quote on the line, or to white space or a quote, without the stops that end a sentence.
+    "assigned": ASSIGNED + r"(?:\"(?:[^\"\\\r\n]|\\[^\r\n]){8,}+\"|'(?:[^'\\\r\n]|\\[^\r\n]){8,}+'"
+    r"|\\?[\"']?[^\s\"']{7,}[^\s\"'.,;:!?)\]}>\\])",
+    "key": r"(?<!\w)(?:(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9\-]{10,})",
+    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)",
     "card": r"(?<![\w.+\-])(?:\d[ \-]?){12,18}\d(?![\w\-])",
     "phone": r"(?<![\w.])\+\d{1,3}[ .\-]?\(?\d{1,4}\)?(?:[ .\-]?\d{2,4}){2,4}(?!\w)"
@@ -50,8 +54,8 @@ FORMS = {
 #: What an entity of a form can begin with, so that most forms are tried in few places only.
 STARTS = {
     "block": "-",
-    "assigned": "[A-Za-z]",
-    "key": "[A-Zgsx]",
+    "assigned": "[AaPpSsTt]",
+    "key": "[Agsx]",
     "iban": "[A-Z]",
     "ip": r"\d",
     "card": r"\d",
@@ -59,10 +63,10 @@ STARTS = {
     "ssn": r"\d",
     "person": r"[\p{Lu}г]",
 }
-#: All forms; none begins inside a word.
-PATTERN = r"(?<![\p{L}\p{N}])(?:" + "|".join(
+#: All forms; each has its own bounds on the left.
+PATTERN = "|".join(
     (f"(?={STARTS[name]})" if name in STARTS else "") + f"(?:{form})" for name, form in FORMS.items()
-) + ")"
+)
 
 #: Names by gender for Latin and Cyrillic script, and syllables that make family names.
 FIRST = {
@@ -123,7 +127,7 @@ def parts_of(entity: Column, form: Column) -> Column:
         first != "",
         F.array(_shown(title), _part(F.concat(F.lit("first_"), gender), first), _shown(F.lit(" ")), _part("last", last)),
     ).otherwise(F.array(_shown(title), _part("last", last)))
-    assigned = r"^(.*[=:]\s*[\"']?)([A-Za-z0-9+/_\-]+)$"
+    assigned = rf"^({ASSIGNED}\\?[\"']?)([\s\S]+?)([\"']?)$"
     prefix = r"^(AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-)(.*)$"
     framed = r"^(-----BEGIN [A-Z ]*-----)([\s\S]*)(-----END [A-Z ]*-----)$"
     return (
@@ -140,6 +144,7 @@ def parts_of(entity: Column, form: Column) -> Column:
             F.array(
                 _shown(F.regexp_extract(entity, assigned, 1)),
                 _part("secret", F.regexp_extract(entity, assigned, 2)),
+                _shown(F.regexp_extract(entity, assigned, 3)),
             ),
         )
         .when(
@@ -200,21 +205,27 @@ def _pick(row: str, number: Column) -> Column:
     return F.substring(F.lit(row), number % len(row) + 1, F.lit(1))
 
 
+def _with_bytes(plain: Column, stream: Column, one: Callable[[Column, Column], Column]) -> Column:
+    """`one` of each letter and its byte; both are cut once, so that long secrets take linear time."""
+    letters = F.split(plain, "")
+    pairs = F.regexp_extract_all(stream, F.lit(".."), F.lit(0))
+    return F.zip_with(letters, F.slice(pairs, 1, F.size(letters)), one)
+
+
 def _scrambled(plain: Column, stream: Column) -> Column:
     """Every letter or digit replaced by one of its row, other signs as they are."""
 
-    def one(i: Column) -> Column:
-        letter = F.substring(plain, i + 1, F.lit(1))
+    def one(letter: Column, byte: Column) -> Column:
+        number = F.conv(byte, 16, 10).cast("int")
         lowered = F.lower(letter)
         found = letter
         for row in reversed(ROWS):
             inside = F.position(lowered, F.lit(row)) > 0
-            new = _pick(row, _byte(stream, i))
+            new = _pick(row, number)
             found = F.when(inside, F.when(letter == lowered, new).otherwise(F.upper(new))).otherwise(found)
         return found
 
-    places = F.sequence(F.lit(0), F.greatest(F.length(plain) - 1, F.lit(0)))
-    return F.array_join(F.transform(places, one), "")
+    return F.array_join(_with_bytes(plain, stream, one), "")
 
 
 def _luhn(digits: Column) -> Column:
@@ -284,14 +295,12 @@ def surrogate_of(kind: Column, plain: Column, attempt: Column, key: str) -> Colu
     phone = F.concat(F.substring(plain, F.lit(1), F.lit(1)), F.substring(digits, F.lit(2), n))
     hexadecimal = plain.rlike("^(?:[0-9a-f]{12,}|[0-9A-F]{12,})$")
 
-    def nibble(i: Column) -> Column:
-        letter = F.substring(plain, i + 1, F.lit(1))
-        new = F.when(letter.rlike("[0-9]"), _pick("0123456789", _byte(stream, i))).otherwise(
-            _pick("abcdef", _byte(stream, i))
-        )
+    def nibble(letter: Column, byte: Column) -> Column:
+        number = F.conv(byte, 16, 10).cast("int")
+        new = F.when(letter.rlike("[0-9]"), _pick("0123456789", number)).otherwise(_pick("abcdef", number))
         return F.when(letter.rlike("[A-F]"), F.upper(new)).otherwise(new)
 
-    hexed = F.array_join(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), nibble), "")
+    hexed = F.array_join(_with_bytes(plain, stream, nibble), "")
     is_cyrillic = plain.rlike(CYRILLIC)
 
     def syllables(rows: list[str]) -> Column:
