@@ -1,5 +1,6 @@
 """Near duplicates, repeated passages, benchmark overlaps against plain forms."""
 
+import itertools
 import random
 
 import numpy as np
@@ -177,6 +178,39 @@ def test_replaced_words_are_tolerated(spark, documents):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i in range(30)}
 
 
+def test_every_choice_of_replaced_words_is_hit():
+    masks = decontamination.completed(decontamination.MASKS, 13, 2)
+    for n in range(1, 14):
+        most = decontamination.replaceable(n, decontamination.SHARE)
+        assert 100 * (n - most) >= decontamination.SHARE * n > 100 * (n - most - 1)
+        own = decontamination.completed(masks, n, most)
+        for k in range(most + 1):
+            for gone in itertools.combinations(range(n), k):
+                assert any(decontamination.hit(m, n, gone) for m in own), (n, gone)
+
+
+def test_short_items_with_replaced_words(spark, documents):
+    chance = random.Random(21)
+    items, docs = [], []
+    for n in range(5, 15):
+        most = decontamination.replaceable(min(n, 13), 80)
+        for gone in itertools.combinations(range(n), most):
+            if chance.random() < 6 / n / most:
+                words = [f"w{chance.randrange(10**6)}" for _ in range(n)]
+                items.append(" ".join(words))
+                said = ["x" if i in gone else w for i, w in enumerate(words)]
+                docs.append(" ".join([text(5, chance), *said, text(5, chance)]))
+    words = [f"v{i}" for i in range(13)]
+    items.append(" ".join(words))
+    docs.append(" ".join("x" if i in (3, 4) else w for i, w in enumerate(words)))
+    items += [docs[0].split(" ")[0] + " p q r s"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontamination.overlaps(documents(list(enumerate(docs))), benchmark)
+    found = {(r.doc_id, r.item_id): (r.item_words, r.matched, r.window_matched) for r in got.collect()}
+    assert found == plain.overlaps(docs, items, least=1)
+    assert {(i, i) for i in range(len(docs))} <= set(found)
+
+
 def test_clean_documents_stay_whole(spark, documents):
     item = text(20)
     benchmark = spark.createDataFrame([(1, item), (1, text(16)), (None, text(18))], "item_id long, text string")

@@ -5,8 +5,9 @@ that a mask selects, at every position of every item and of every document, are
 hashes of an item and a document are hits: two windows that agree in the selected places. Around a
 hit the two texts are laid on one another, word by word, and compared: there is an overlap if some
 stretch of `WINDOW` words has at least `SHARE` of its words in common. So replaced words are
-tolerated. An item with fewer words than `WINDOW` is compared whole; one that is shorter than the
-masks has to occur word for word.
+tolerated. An item with fewer words than `WINDOW` is compared whole. Masks are added to the given
+ones until every way in which words can be replaced leaves a seed: for a window, and for each length
+of the shorter items that there are.
 
 Words are runs of letters and digits, lower-cased. The hashes of the items are broadcast if they
 are measured to be small, so that the documents' hashes, one for each word and mask, need no
@@ -15,13 +16,16 @@ shuffle; with a larger benchmark they are joined by one. Only hits go on.
 
 from __future__ import annotations
 
+from functools import lru_cache
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textsignal.llm.common import measured_broadcast
 from textsignal.llm.store import stored
 
-#: With two replaced words in 15, or three in 20, one of the two masks still hits.
+#: The masks to begin with; `completed` adds what they miss.
 MASKS = ("101100111", "110101011")
 WINDOW = 13
 SHARE = 80  # per cent
@@ -47,19 +51,57 @@ def _places(masks: tuple[str, ...]) -> list[list[int]]:
     return [[i for i, c in enumerate(m) if c == "1"] for m in masks]
 
 
+def replaceable(size: int, share: int) -> int:
+    """How many of so many words may be replaced."""
+    return size - (size * share + 99) // 100
+
+
+def hit(mask: str, size: int, replaced: tuple[int, ...]) -> bool:
+    """Whether a mask has a position in `size` words where it selects no replaced one."""
+    chosen = [i for i, c in enumerate(mask) if c == "1"]
+    return any(
+        all(start + p not in replaced for p in chosen) for start in range(size - len(mask) + 1)
+    )
+
+
+@lru_cache
+def completed(masks: tuple[str, ...], size: int, n_replaced: int) -> tuple[str, ...]:
+    """The masks that fit, and more until each choice of replaced words is hit by one.
+
+    All choices are tried, so `size` is that of a sentence. New masks select as many words as the
+    given ones, or all that are left, and are spread as wide as they can be.
+    """
+    fit = [m for m in masks if len(m) <= size]
+    weight = min([size - n_replaced, *(m.count("1") for m in masks)])
+    missed = [
+        x for x in combinations(range(size), n_replaced) if not any(hit(m, size, x) for m in fit)
+    ]
+    others = sorted(
+        {
+            "".join("01"[i in c] for i in range(c[0], c[-1] + 1))
+            for c in combinations(range(size), weight)
+        }
+    ) if missed else []
+    while missed:
+        best = max(others, key=lambda m: (sum(hit(m, size, x) for x in missed), len(m)))
+        fit.append(best)
+        missed = [x for x in missed if not hit(best, size, x)]
+    return tuple(fit)
+
+
 def _placed(
-    rows: DataFrame, ids: list[str], masks: tuple[str, ...], short: list[int], items: bool
+    rows: DataFrame, ids: list[str], masks: dict[str, list[int]], window: int, items: bool
 ) -> DataFrame:
     """Rows (ids, _seed, _at): every seed with its position. `rows` has the ids and _words.
 
-    Lengths in `short` have seeds of their own: all the words of a short item.
+    `masks` names the lengths of items that a mask is for; `window` stands for all from there on.
     """
     size = F.size("_words")
-    sets = [_seeds("_hashes", F.col("_size"), p, f"mask {m}") for p, m in zip(_places(masks), masks)]
-    for n in short:
-        whole = _seeds("_hashes", F.col("_size"), list(range(n)), f"whole {n}")
-        fits = (F.col("_size") == n) | F.lit(not items)
-        sets.append(F.when(fits, whole).otherwise(F.array().cast("array<bigint>")))
+    sets = []
+    for m, places in zip(masks, _places(tuple(masks))):
+        seeds = _seeds("_hashes", F.col("_size"), places, f"mask {m}")
+        fits = F.least(F.col("_size"), F.lit(window)).isin(masks[m]) | F.lit(not items)
+        sets.append(F.when(fits, seeds).otherwise(F.array().cast("array<bigint>")))
     hashed = rows.select(
         *ids, size.alias("_size"), F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes")
     )
@@ -92,7 +134,6 @@ def overlaps(
     without words overlap with nothing. Repeated keys count as one document or item with several
     texts, a null key as a key. Empty tables give an empty table.
     """
-    span = len(masks[0])
     items = stored(
         benchmark.select(
             benchmark[item].alias("_item"), words(benchmark[item_text]).alias("_words")
@@ -100,17 +141,23 @@ def overlaps(
         .where(F.size("_words") > 0)
         .distinct()
     )
-    # At most `span` - 1 lengths.
-    lengths = items.where(F.size("_words") < span).select(F.size("_words").alias("n")).distinct()
-    short = sorted(r["n"] for r in lengths.collect())
+    # At most `window` lengths.
+    lengths = items.select(F.least(F.size("_words"), F.lit(window)).alias("n")).distinct()
+    masks = completed(masks, window, replaceable(window, share))
+    for_lengths: dict[str, list[int]] = {}
+    for n in sorted(r["n"] for r in lengths.collect()):
+        for m in completed(masks, n, replaceable(n, share)):
+            for_lengths.setdefault(m, []).append(n)
+    if not for_lengths:
+        for_lengths = {m: [window] for m in masks}
     marks = stored(
-        _placed(items, ["_item"], masks, short, items=True).select(
+        _placed(items, ["_item"], for_lengths, window, items=True).select(
             "_item", F.col("_seed").alias("_mark"), F.col("_at").alias("_in_item")
         )
     )
     texts = docs.select(docs[key].alias("_doc"), docs[text].alias("_text"))
     said = texts.select("_doc", words(F.col("_text")).alias("_words"))
-    seeds = _placed(said, ["_doc"], masks, short, items=False)
+    seeds = _placed(said, ["_doc"], for_lengths, window, items=False)
     hits = stored(
         seeds.join(measured_broadcast(marks, 32), F.col("_seed") == F.col("_mark"))
         .select("_doc", "_item", (F.col("_at") - F.col("_in_item")).alias("_shift"))
@@ -146,10 +193,9 @@ def overlaps(
         )
     )
     in_all = F.aggregate("_equal", F.lit(0), lambda total, x: total + x)
-    needed = F.when(F.col("_n") < span, F.lit(100)).otherwise(F.lit(share))
     return (
         compared.select("_doc", "_item", "_n", in_all.alias("_all"), best.alias("_best"))
-        .where(F.col("_best") * 100 >= needed * wide)
+        .where(F.col("_best") * 100 >= share * wide)
         .groupBy(F.col("_doc").alias(key), F.col("_item").alias(item))
         .agg(
             F.max("_n").cast("long").alias("item_words"),
