@@ -158,6 +158,18 @@ def test_passages_of_null_keys_and_no_rows(documents):
     assert passage_dedup.dedup_passages(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_repeated_rows_without_an_earlier_copy_stay(documents, partitions):
+    passage, other = text(60), text(60)
+    rows = [(4, passage)] * 3 + [(5, other + "x" * 300)] * 2 + [(6, passage + other)]
+    got = passage_dedup.dedup_passages(documents(rows).repartition(partitions))
+    once = [r[1] for r in (rows[0], rows[3], rows[5])]
+    wanted = dict(zip((4, 5, 6), plain.without_repeats(once)))
+    assert wanted[4][1] == 0 < wanted[5][1]
+    found = [(r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in got.collect()]
+    assert sorted(found) == sorted((r[0], wanted[r[0]]) for r in rows)
+
+
 def test_overlaps_equal_plain_comparison(spark, documents):
     items = [text(n) for n in (15, 20, 36, 60)] + [text(10), text(4), "", None]
     docs = [text(80) + " " + t + ", " + text(30) for t in items[:5] if t]

@@ -109,8 +109,15 @@ def records(
 
 
 def _firsts(grams: np.ndarray, spans: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order by gram, span and place, and whether a record is the first of its span in it."""
+    """An order by gram, span and place, and whether a record is the first of its span in it.
+
+    Repeated rows are one document, so the order has one of records with the same place.
+    """
     order = np.lexsort((found["low"], found["tag"], found["doc"], spans, grams))
+    columns = [grams[order], spans[order], *(found[c][order] for c in ("doc", "tag", "low"))]
+    other = np.ones(len(order), bool)
+    other[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    order = order[other]
     g, s = grams[order], spans[order]
     first = np.ones(len(order), bool)
     first[1:] = (g[1:] != g[:-1]) | (s[1:] != s[:-1])
