@@ -52,6 +52,16 @@ def test_dedup_of_repeated_rows_null_keys_and_no_rows(documents):
     assert exact_dedup.dedup(documents([])).count() == 0
 
 
+def test_dedup_keeps_one_of_repeated_rows_that_are_best(documents):
+    rows = [(1, "same")] * 3 + [(2, "same"), (3, "sa me"), (3, "sa me"), (None, "x"), (None, "x")]
+    rows += [(7, "y" * 9), (7, "y" * 9), (8, "alone")]
+    for block in (4, 4096):
+        got = exact_dedup.dedup(documents(rows), block=block)
+        assert got.count() == len(rows)
+        kept = rows_of(got.where("kept"), "doc_id", "keep_id", "group_size")
+        assert kept == sorted([(3, 3, 6), (None, None, 2), (7, 7, 2), (8, 8, 1)], key=repr)
+
+
 def test_mix_takes_the_targets(documents):
     chance = random.Random(2)
     rows = []

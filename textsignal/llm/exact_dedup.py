@@ -147,6 +147,9 @@ def identities(docs: DataFrame, key: str, text: str, block: int) -> DataFrame:
     finished: list[DataFrame] = []
     while True:
         done = level.where(F.col("_names") == 1)
+        if not finished:
+            # Longer texts have been counted at their pairs.
+            done = done.groupBy(*TEXT, "_name").agg(F.sum("_rows").alias("_rows"))
         finished.append(
             done.select(*TEXT, "_rows", F.lit(len(finished)).alias("_round"), "_name")
         )
