@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from textsignal.llm import html_blocks, html_extract, language, toxicity
@@ -142,6 +143,27 @@ def test_blocks_of_a_page():
     assert [b.text for b in html_blocks.blocks("a < b <p class='x\">c")][0].startswith("a")
 
 
+def test_formulas_drawings_and_fallback_texts_are_content():
+    page = (
+        "<body><article><p>Let <math><mi>a</mi><mo>+</mo><mspace/><msup><mi>b</mi><mn>2</mn></msup></math> be.</p>"
+        "<p>See <svg><path d='M0 0'/><text>axis x</text><text>axis y</text></svg> here</p>"
+        "<canvas>bars of 1990</canvas><object data='x'><p>a table instead</p></object>"
+        "<noscript>plain form</noscript><p>last</p></article></body>"
+    )
+    found = [b.text for b in html_blocks.blocks(page)]
+    assert found[:2] == ["Let a+b2 be.", "See axis x axis y here"] and found[-1] == "last"
+    for said in ("bars of 1990", "a table instead", "plain form"):
+        assert any(said in text for text in found)
+
+
+@pytest.mark.parametrize("tag", ["math", "svg", "object", "canvas", "noscript"])
+def test_an_unclosed_element_does_not_end_the_page(tag):
+    page = f"<article><p>first <{tag}>inner</p><p>second <a href=x>link</a></p><ul><li>third</ul></article><p>end"
+    found = html_blocks.blocks(page)
+    assert [b.text for b in found] == ["first inner", "second link", "third", "end"]
+    assert [b.linked for b in found] == [0, 4, 0, 0]
+
+
 def test_decoding_takes_the_best_of_all_labellings():
     chance = np.random.default_rng(5)
     field = html_extract.Field()

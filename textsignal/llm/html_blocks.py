@@ -13,11 +13,22 @@ DIMS = 1 << 14
 # Fixed values of the HTML standard: elements without content, with content that is no markup, and
 # inside a line of text; and which open elements a start tag ends.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-RAW = set("script style title textarea noscript iframe template svg math object canvas".split())
+RAW = set("script style title textarea iframe template".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s "
-    "samp small span strike strong sub sup time tt u var wbr".split()
+    "samp small span strike strong sub sup time tt u var wbr object canvas noscript".split()
 )
+#: Elements of formulas and drawings, which are read as part of a line; a slash in the tag ends them.
+FOREIGN = set(
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+    "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder "
+    "munderover none semantics annotation annotation-xml svg g defs symbol use text tspan textpath "
+    "desc path rect circle ellipse line polyline polygon image lineargradient radialgradient stop "
+    "clippath mask pattern marker filter foreignobject switch view animate set".split()
+)
+INLINE |= FOREIGN
+#: Their texts are words of their own.
+APART = set("mtd mtr annotation text desc foreignobject".split())
 ENDS = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -102,6 +113,8 @@ def blocks(page: str) -> list[Block]:
             if any(x[0] == tag for x in stack):
                 if tag not in INLINE:
                     close()
+                elif tag in APART:
+                    pieces.append(" ")
                 while stack.pop()[0] != tag:
                     pass
             continue
@@ -114,7 +127,9 @@ def blocks(page: str) -> list[Block]:
             pieces.append(" ")
             continue
         if tag in INLINE:
-            if tag not in VOID:
+            if tag in APART:
+                pieces.append(" ")
+            if tag not in VOID and not (tag in FOREIGN and attributes.rstrip().endswith("/")):
                 stack.append((tag, ()))
             continue
         close()
