@@ -124,3 +124,29 @@ def test_entities_inside_and_after_words(documents):
     assert len(shared) == 1
     long_value = got[10].text[31:-29]
     assert len(long_value) == len(long_key) and long_value[-4:] != "Ab3/"
+
+
+def test_whole_names_and_later_mentions(documents):
+    rows = [
+        (1, "Dr. Anna Maria Schmidt came. Schmidt, Anna and Schmidt's car; the Schmidt-Case, not Schmidts."),
+        (2, "Mr. J. Smith, Mr. J.R.R. Tolkien"),
+        (3, "Mrs. O'Brien and O'Brien's; Dr. McDonald. MR SMITH IS HERE. Smith"),
+        (4, "Herr von der Heide, Mme de la Cruz Pérez; Dr. Jose\u0301 Nun\u0303ez left"),
+        (5, "Dr. 李明, Dr. محمد علي."),
+        (6, "Schmidt and Anna without a title"),
+    ]
+    got = texts(pii.replaced(documents(rows)))
+    one = re.fullmatch(
+        r"Dr\. (\w+) (\w+) (\w+) came\. (\w+), (\w+) and (\w+)'s car; the (\w+)-Case, not Schmidts\.", got[1].text
+    )
+    assert one and one[3] == one[4] == one[6] == one[7] != "Schmidt" and one[1] == one[5] != "Anna"
+    assert one[2] != "Maria" and got[1].n_entities == 5
+    two = re.fullmatch(r"Mr\. (\w+)\. (\w+), Mr\. (\w+)\.(\w+)\.(\w+)\. (\w+)", got[2].text)
+    assert two and two[1] == two[3] != "J" and two[4] == two[5] != "R" and two[2] != "Smith" and two[6] != "Tolkien"
+    three = re.fullmatch(r"Mrs\. (\w+) and (\w+)'s; Dr\. (\w+)\. MR (\w+) IS HERE\. (\w+)", got[3].text)
+    assert three and three[1] == three[2] and three[4] == two[2].upper() and three[5] == two[2]
+    assert "Brien" not in got[3].text and "Donald" not in got[3].text
+    four = re.fullmatch(r"Herr von der (\w+), Mme de la (\w+) (\w+); Dr\. (\w+) (\w+) left", got[4].text)
+    assert four and not {"Heide", "Cruz", "Pérez"} & set(four.groups())
+    assert not re.search(r"[李明\u0600-\u06ff\u0301\u0303]", got[4].text + got[5].text)
+    assert got[6].text == rows[5][1] and got[6].n_entities == 0

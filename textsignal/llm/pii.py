@@ -1,7 +1,7 @@
 """Surrogates for personal data and secrets.
 
 Entities are found by one pattern. Each is taken apart into units (an e-mail address into mailbox and
-domain, a titled name into its names), and a unit's plain form (its letters and digits, lower-cased)
+domain, a titled name into its names; the document's other mentions of those names count, too), and a unit's plain form (its letters and digits, lower-cased)
 is what two mentions have in common, however they are written. A keyed digest of kind and plain form
 gives the surrogate: letters become letters of the same script, digits digits, card numbers keep a
 valid check digit, octets stay octets, and names come from lists by gender and script. So a mention
@@ -33,7 +33,24 @@ TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Signora", "г-жа"],
     "n": ["Dr", "Prof"],
 }
-NAME = r"\p{Lu}\p{Ll}{1,30}(?:-\p{Lu}\p{Ll}{1,30})?"
+TITLE = "(?:" + "|".join(dict.fromkeys(w for ts in TITLES.values() for t in ts for w in (t, t.upper()))) + ")"
+#: In texts in capitals throughout, words that end a name.
+STOPS = (
+    "I A AN AND ARE AS AT BE BUT BY FOR FROM HAD HAS HAVE HE HER HIS IF IN IS IT NOT OF ON OR SAID SAYS SHE THAT "
+    "THE THEN THIS TO WAS WERE WHEN WHO WILL WITH WOULD DER DIE DAS UND IST WAR HAT IM MIT ET EST LE LA LES "
+    "DANS POUR EL LOS LAS ES EN CON"
+).replace(" ", "|")
+PARTICLE = "(?:de|da|do|dos|das|del|della|di|du|la|le|van|von|vom|zu|zum|zur|den|der|ten|ter|af|av|bin|ibn|el|al|y)"
+INITIAL = r"\p{Lu}\p{M}*+\."
+#: A capitalised word, with its parts after apostrophes and hyphens; one of a script without case.
+WORD = (
+    rf"(?!(?:{STOPS}|{TITLE})(?![\p{{L}}\p{{M}}]))\p{{Lu}}[\p{{L}}\p{{M}}]*+"
+    r"(?:['’]\p{Lu}[\p{L}\p{M}]++|-\p{Lu}[\p{L}\p{M}]*+)*+"
+)
+CASELESS = r"\p{Lo}[\p{Lo}\p{Lm}\p{M}‌‍]*+"
+ELEMENT = f"(?:{INITIAL}|{WORD}|{CASELESS})"
+#: All the words of a name.
+RUN = rf"(?:{PARTICLE}[  ])*+{ELEMENT}(?:(?:[  ]|(?<=\p{{Lu}}\.)-?)(?:{PARTICLE}[  ])*+{ELEMENT})*+"
 #: What an assigned secret follows, up to its opening quote; it may stand at the end of a longer name.
 ASSIGNED = r"(?i:password|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key)\\?[\"']?\s{0,3}[=:]\s{0,3}"
 FORMS = {
@@ -49,7 +66,7 @@ FORMS = {
     "phone": r"(?<![\w.])\+\d{1,3}[ .\-]?\(?\d{1,4}\)?(?:[ .\-]?\d{2,4}){2,4}(?!\w)"
     r"|(?<![\w.])\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\w)|(?<![\w.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\w\-])",
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
-    "person": "(?<![\\p{L}\\p{N}])(?:" + "|".join(t for ts in TITLES.values() for t in ts) + rf")\.? {NAME}(?: {NAME})?(?!\p{{L}})",
+    "person": rf"(?<![\p{{L}}\p{{N}}]){TITLE}\.?[ \u00a0]{RUN}",
 }
 #: What an entity of a form can begin with, so that most forms are tried in few places only.
 STARTS = {
@@ -118,15 +135,37 @@ def form_of(entity: Column) -> Column:
 
 def parts_of(entity: Column, form: Column) -> Column:
     """An entity as parts (kind, value); parts without a kind are written as they are."""
-    titles = {g: rf"^(?:{'|'.join(ts)})\.? " for g, ts in TITLES.items()}
+    titles = {g: rf"^(?:{'|'.join([*ts, *(t.upper() for t in ts)])})\.?[  ]" for g, ts in TITLES.items()}
     gender = F.when(entity.rlike(titles["m"]), "m").when(entity.rlike(titles["f"]), "f").otherwise("n")
-    title = F.regexp_extract(entity, r"^(\S+ )", 1)
-    first = F.regexp_extract(entity, rf"^\S+ ({NAME}) {NAME}$", 1)
-    last = F.regexp_extract(entity, rf"({NAME})$", 1)
-    person = F.when(
-        first != "",
-        F.array(_shown(title), _part(F.concat(F.lit("first_"), gender), first), _shown(F.lit(" ")), _part("last", last)),
-    ).otherwise(F.array(_shown(title), _part("last", last)))
+    title = F.regexp_extract(entity, rf"^({TITLE}\.?[  ])", 1)
+    # Names, and what stands between them: particles, spaces, hyphens.
+    tokens = F.regexp_extract_all(
+        F.substring(entity, F.length(title) + 1, F.length(entity)), F.lit(rf"{ELEMENT}|\p{{Ll}}++|[\s\S]"), F.lit(0)
+    )
+    is_initial = rf"^{INITIAL}$"
+    ordered = F.transform(
+        tokens,
+        lambda t, i: F.struct(
+            t.alias("t"), (t.rlike(r"^[\p{Lu}\p{Lo}]") & ~t.rlike(is_initial)).alias("named"), i.alias("i")
+        ),
+    )
+    last = F.array_max(F.transform(F.filter(ordered, lambda x: x["named"]), lambda x: x["i"]))
+    said = F.aggregate(
+        ordered,
+        F.array().cast("array<struct<kind:string,value:string>>"),
+        lambda made, x: F.concat(
+            made,
+            F.array(
+                _part(
+                    F.when(x["named"] & (x["i"] == last), "last")
+                    .when(x["named"], F.concat(F.lit("first_"), gender))
+                    .when(x["t"].rlike(is_initial), "initial"),
+                    x["t"],
+                )
+            ),
+        ),
+    )
+    person = F.concat(F.array(_shown(title)), said)
     assigned = rf"^({ASSIGNED}\\?[\"']?)([\s\S]+?)([\"']?)$"
     prefix = r"^(AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-)(.*)$"
     framed = r"^(-----BEGIN [A-Z ]*-----)([\s\S]*)(-----END [A-Z ]*-----)$"
@@ -359,6 +398,41 @@ def surrogates(units: DataFrame, key: str = KEY) -> DataFrame:
             return settled
 
 
+def named_as(value: Column, surrogate: Column) -> Column:
+    """A name's surrogate in the case of a mention."""
+    return F.when(
+        (value == F.upper(value)) & (value != F.lower(value)), F.upper(surrogate)
+    ).otherwise(F.initcap(surrogate))
+
+
+#: Capitalised words outside of entities, which may be names of the document.
+BARE = rf"(?<![\p{{L}}\p{{N}}\p{{M}}]){WORD}"
+
+
+def _lookup(names: Column, word: Column) -> Column:
+    """The surrogate of a capitalised word, or null."""
+    return named_as(word, F.element_at(names, plain_of(F.lit("last"), word)))
+
+
+def _renamed(names: Column, word: Column) -> Column:
+    """A capitalised word with its surrogate, or those of its parts, or null."""
+    parts = F.transform(F.split(word, "-"), lambda w: F.struct(w.alias("w"), _lookup(names, w).alias("new")))
+    by_parts = F.array_join(F.transform(parts, lambda p: F.coalesce(p["new"], p["w"])), "-")
+    return F.coalesce(
+        _lookup(names, word), F.when(F.exists(parts, lambda p: p["new"].isNotNull()), by_parts)
+    )
+
+
+def _bare(piece: Column, names: Column) -> Column:
+    """A text between entities as (gap, word, new): `new` is null if the word is no name."""
+    found = F.regexp_extract_all(piece, F.lit(BARE), F.lit(0))
+    return F.zip_with(
+        F.split(piece, BARE, -1),
+        found,
+        lambda gap, word: F.struct(gap.alias("gap"), word.alias("word"), _renamed(names, word).alias("new")),
+    )
+
+
 def written_as(value: Column, kind: Column, surrogate: Column) -> Column:
     """A surrogate in the form of a mention: its separators and its case."""
     # What stands before each letter or digit, and the letters themselves, follow the mention.
@@ -377,9 +451,9 @@ def written_as(value: Column, kind: Column, surrogate: Column) -> Column:
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("n"))
     filled = F.aggregate(places, start, add)
     poured = F.concat(filled["text"], F.substring(surrogate, filled["n"] + 1, F.length(surrogate)))
-    named = F.when(value == F.upper(value), F.upper(surrogate)).otherwise(F.initcap(surrogate))
     return (
-        F.when(kind.startswith("first_") | (kind == "last"), named)
+        F.when(kind.startswith("first_") | (kind == "last"), named_as(value, surrogate))
+        .when(kind == "initial", F.concat(F.initcap(surrogate), F.lit(".")))
         .when(kind.isin("ip", "secret", "domain", "mailbox"), surrogate)
         .otherwise(poured)
     )
@@ -427,7 +501,31 @@ def replaced(
         F.transform(F.sort_array(F.collect_list(F.struct("_i", "_new"))), lambda m: m["_new"]).alias("_news"),
         F.sum(F.octet_length("_new") + 16).alias("_bytes"),
     )
-    filled = stored(filled)
+    # The names of a document, by which it may call the same people without a title; family names first.
+    own = (
+        mentions.select("_key", "_tag", "_entity")
+        .distinct()
+        .join(
+            parts.where(F.col("kind").startswith("first_") | (F.col("kind") == "last"))
+            .where(F.length("plain") > 1)
+            .select("_entity", "kind", "plain")
+            .distinct(),
+            "_entity",
+        )
+        .join(units, ["kind", "plain"])
+        .groupBy("_key", "_tag", "plain")
+        .agg(F.max(F.struct("kind", "surrogate"))["surrogate"].alias("surrogate"))
+        .groupBy(F.col("_key").alias("_name_key"), F.col("_tag").alias("_name_tag"))
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("plain", "surrogate"))).alias("_names"),
+            F.sum(F.octet_length("plain") + F.octet_length("surrogate") + 32).alias("_name_bytes"),
+        )
+    )
+    filled = stored(
+        filled.join(
+            own, F.col("_key").eqNullSafe(F.col("_name_key")) & (F.col("_tag") == F.col("_name_tag")), "left"
+        ).select("_key", "_tag", "_news", "_names", (F.col("_bytes") + F.coalesce("_name_bytes", F.lit(0))).alias("_bytes"))
+    )
     size = filled.agg(F.coalesce(F.sum("_bytes"), F.lit(0)).alias("n")).first()["n"]
     known = measured_broadcast(filled.drop("_bytes"), 40 + int(size) // max(1, filled.count()))
     others = [c for c in docs.columns if c.lower() != "n_entities"]
@@ -438,11 +536,27 @@ def replaced(
         "left",
     )
     pieces = F.split(base[text], PATTERN, -1)
+    # Of texts with names, each piece is cut once more, at its capitalised words.
+    named = F.transform(
+        pieces,
+        lambda p: F.transform(
+            F.array(_bare(p, known["_names"])),
+            lambda cut: F.struct(
+                F.array_join(
+                    F.transform(cut, lambda c: F.concat(c["gap"], F.coalesce(c["new"], c["word"], F.lit("")))), ""
+                ).alias("text"),
+                F.size(F.filter(cut, lambda c: c["new"].isNotNull())).alias("n"),
+            ),
+        )[0],
+    )
+    plain = F.transform(pieces, lambda p: F.struct(p.alias("text"), F.lit(0).alias("n")))
+    near = near.withColumn("_pieces", F.when(known["_news"].isNotNull(), F.when(known["_names"].isNotNull(), named).otherwise(plain)))
     put = F.array_join(
-        F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(known["_news"], i), F.lit("")))), ""
+        F.transform("_pieces", lambda p, i: F.concat(p["text"], F.coalesce(F.get(known["_news"], i), F.lit("")))), ""
     )
+    again = F.aggregate("_pieces", F.lit(0), lambda n, p: n + p["n"])
     new = F.when(known["_news"].isNull(), base[text]).otherwise(put)
     return near.select(
         *[(new if c == text else base[c]).alias(c) for c in others],
-        F.coalesce(F.size(known["_news"]), F.lit(0)).cast("long").alias("n_entities"),
+        F.coalesce(F.size(known["_news"]) + again, F.lit(0)).cast("long").alias("n_entities"),
     )
