@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from textsignal.llm import (
     passage_dedup,
     pii,
     sharding,
+    token_files,
     toxicity,
 )
 from textsignal.llm.registry import QUERIES, SQL, query, table
@@ -189,3 +191,9 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.token_digests(table(spark, sf_dir, "documents"), path, end=2)
