@@ -17,9 +17,9 @@ import numpy as np
 
 #: A pair with fewer occurrences in a sequence is not worth a rule.
 LEAST = 32
-SHARE = 0.25
+SHARE = 0.125
 #: Bits of the hash under which pairs are counted before they are compared.
-HASH_BITS = 18
+HASH_BITS = 16
 
 
 @dataclass

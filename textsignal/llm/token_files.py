@@ -24,10 +24,9 @@ task's memory.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +39,19 @@ from textsignal.llm.grammar import _runs as runs
 from textsignal.llm.grammar import compress, expand, pack, slice_ids, unpack
 from textsignal.llm.store import stored
 
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 18
 #: Bytes of text of a shard, and bytes of text encoded at once.
 SHARD_BYTES = 64 << 20
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 16 << 20
 #: Pieces that a task remembers, and words in one call of the library.
 KNOWN = 1 << 20
 LINE = 64
 
-#: Letters that no normal form changes, then punctuation that can't belong to an apostrophe form.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: Words of letters that no normal form changes; marks; punctuation that ends a piece after a letter
+#: and can't belong to an apostrophe form.
+PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+MARKS = r"\p{M}"
+SIGNS = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)([ \t\n\v\f\r]|$)"
 BLOCKS = (
     "shard int, block int, begin long, keys array<long>, sizes array<long>, pieces array<long>, "
     "grammars array<binary>"
@@ -60,15 +62,14 @@ BLOCKS = (
 class Encoder:
     """Ids of texts by a vocabulary that drops white space and marks the ends of words.
 
-    A piece without ASCII white space is encoded as a whole, unless it is letters and then
-    punctuation, which the vocabulary's own rule separates. Letters are lower-cased before they are
-    looked up if the vocabulary does it, too. A text with `<|` may hold special tokens and is
-    encoded whole.
+    A piece without ASCII white space is encoded as a whole, but for punctuation that follows a
+    letter and ends it, which the vocabulary's own rule separates. ASCII letters are lower-cased
+    before pieces are looked up if the vocabulary does it, too; not where marks could have combined
+    with the capital only. A text with `<|` may hold special tokens and is encoded whole.
     """
 
     path: str
     mark: str = "</w>"
-    known: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -84,77 +85,59 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known.clear()
+        self.pieces = pa.array([], pa.string())
         self.flat = np.zeros(0, self.kind)
         self.sizes = np.zeros(0, np.int64)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str], odd: list[str]) -> None:
-        """Adds words of plain letters, which are encoded in lines, and other pieces."""
-        lines = self._ids([" ".join(words[i : i + LINE]) for i in range(0, len(words), LINE)])
+    def _learn(self, pieces: pa.Array) -> None:
+        """Adds pieces: words of plain letters are encoded in lines, others one by one."""
+        plain = pc.match_substring_regex(pieces, PLAIN)
+        words, odd = pieces.filter(plain), pieces.filter(pc.invert(plain))
+        listed = words.to_pylist()
+        lines = self._ids([" ".join(listed[i : i + LINE]) for i in range(0, len(listed), LINE)])
         ids = np.array([i for line in lines for i in line], self.kind)
         after = np.flatnonzero(self.ends[ids]) + 1
         if len(after) != len(words) or len(ids) and after[-1] != len(ids):
             raise ValueError(f"{self.path} does not mark the ends of words by {self.mark}")
-        sizes = np.diff(after, prepend=0)
-        rest = self._ids(odd)
+        rest = self._ids(odd.to_pylist())
         more = np.array([i for piece in rest for i in piece], self.kind)
+        n_more = np.array([len(r) for r in rest], np.int64)
+        self.pieces = pa.concat_arrays([self.pieces, words, odd])
         self.flat = np.concatenate([self.flat, ids, more])
-        self.sizes = np.concatenate([self.sizes, sizes, np.array([len(r) for r in rest], np.int64)])
-        for piece in (*words, *odd):
-            self.known[piece] = len(self.known)
+        self.sizes = np.concatenate([self.sizes, np.diff(after, prepend=0), n_more])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each text."""
         texts = pc.fill_null(texts, "")
-        special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
-        lists = pc.ascii_split_whitespace(pc.if_else(pa.array(~special), texts, ""))
+        special = pc.match_substring(texts, "<|")
+        cut = pc.if_else(special, "", texts)
+        if self.lower:
+            cut = pc.if_else(pc.match_substring_regex(cut, MARKS), cut, pc.ascii_lower(cut))
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(cut, SIGNS, r"\1 \2\3"))
         coded = lists.flatten().dictionary_encode()
-        if len(self.known) > KNOWN:
+        if len(self.pieces) > KNOWN:
             self._forget()
-        # Pieces as one or two known ones each.
-        parts, words, odd = [], {}, {}
-        for piece in coded.dictionary.to_pylist():
-            plain = PLAIN.fullmatch(piece)
-            if plain is None:
-                if piece not in self.known:
-                    odd[piece] = None
-                parts.append((piece, ""))  # may be empty, as before white space at the beginning
-                continue
-            word, signs = plain.groups()
-            if self.lower:
-                word = word.lower()
-            if word not in self.known:
-                words[word] = None
-            if signs and signs not in self.known:
-                odd[signs] = None
-            parts.append((word, signs))
-        self._learn(list(words), list(odd))
-        known = self.known
-        split = [[known[p], known[signs]] if signs else [known[p]] for p, signs in parts]
-        n_split = np.array([len(s) for s in split], np.int64)
-        split = np.array([i for s in split for i in s], np.int64)
-        starts = np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
-        ids = self.flat[runs(starts[split], self.sizes[split])]
-        owner = np.repeat(np.arange(len(parts)), n_split)
-        sizes = np.bincount(owner, self.sizes[split], len(parts)).astype(np.int64)
-        begin = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        # Pieces of the texts, in order.
-        use = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        found = ids[runs(begin[use], sizes[use])]
-        count = np.concatenate([[0], np.cumsum(sizes[use])])[lists.offsets.to_numpy()]
-        count = np.diff(count).astype(np.int64)
-        if special.any():
+        place = pc.index_in(coded.dictionary, value_set=self.pieces)
+        if place.null_count:
+            self._learn(coded.dictionary.filter(place.is_null()))
+            place = pc.index_in(coded.dictionary, value_set=self.pieces)
+        use = place.take(coded.indices).to_numpy(zero_copy_only=False).astype(np.int64)
+        begin = np.cumsum(self.sizes) - self.sizes
+        found = self.flat[runs(begin[use], self.sizes[use])]
+        after = np.concatenate([[0], np.cumsum(self.sizes[use])])
+        count = np.diff(after[lists.offsets.to_numpy()]).astype(np.int64)
+        whole = {i: self._ids([texts[i].as_py()])[0] for i in pc.indices_nonzero(special).to_pylist()}
+        if whole:
             at = np.cumsum(count) - count
-            whole = {i: self._ids([texts[i].as_py()])[0] for i in np.flatnonzero(special).tolist()}
-            pieces = [
+            parts = [
                 np.array(whole[i], self.kind) if i in whole else found[at[i] : at[i] + count[i]]
                 for i in range(len(count))
             ]
-            found = np.concatenate(pieces)
-            count = np.array([len(p) for p in pieces], np.int64)
+            found = np.concatenate(parts)
+            count = np.array([len(p) for p in parts], np.int64)
         return found, count
 
 
@@ -236,10 +219,11 @@ def token_blocks(
     """The blocks of all documents, to be written by `write_tokens`. `end` is the id after each."""
     rows, n = _encoded(docs, key, text, path, end, shard_bytes)
     order = ("shard", F.asc_nulls_first("key"), "tie", "ids")
+    made = Encoder(path)
+    first, kind = made.first, made.kind
+    del made
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
-        first, kind = encoder.first, encoder.kind
         shard, block, begin, size = -1, 0, 0, 0
         keys, texts = [], []
         for batch in batches:
