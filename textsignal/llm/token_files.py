@@ -24,9 +24,12 @@ task's memory.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +45,16 @@ from textsignal.llm.store import stored
 BLOCK_IDS = 1 << 18
 #: Bytes of text of a shard, and bytes of text encoded at once.
 SHARD_BYTES = 64 << 20
-PIECE_BYTES = 16 << 20
+PIECE_BYTES = 8 << 20
 #: Pieces that a task remembers, and words in one call of the library.
 KNOWN = 1 << 20
 LINE = 64
 
-#: Words of letters that no normal form changes; marks; punctuation that ends a piece after a letter
+#: Words of letters that no normal form changes; words to try; marks; punctuation that ends a piece after a letter
 #: and can't belong to an apostrophe form.
+ASCII = "^[a-z]+$"
 PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+SAMPLE = ["abcdefghijklmnopqrstuvwxyz", "zyxwvutsrqponmlkjihgfedcba", "the", "a", "unbelievable", "sst"]
 MARKS = r"\p{M}"
 SIGNS = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)([ \t\n\v\f\r]|$)"
 BLOCKS = (
@@ -82,6 +87,11 @@ class Encoder:
         self.ends = np.zeros(self.first, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(self.mark)]] = True
         self.lower = self._ids(["A"])[0] == self._ids(["a"])[0]
+        # Whether words of lower-case ASCII letters reach the merges as they are.
+        self.bare = all(
+            [token.id for token in self.model.model.tokenize(w)] == i
+            for w, i in zip(SAMPLE, self._ids(SAMPLE), strict=True)
+        )
         self._forget()
 
     def _forget(self) -> None:
@@ -93,21 +103,25 @@ class Encoder:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: pa.Array) -> None:
-        """Adds pieces: words of plain letters are encoded in lines, others one by one."""
+        """Adds pieces: ASCII words go to the merges at once, others in lines, what is no word alone."""
         plain = pc.match_substring_regex(pieces, PLAIN)
         words, odd = pieces.filter(plain), pieces.filter(pc.invert(plain))
-        listed = words.to_pylist()
+        bare = pc.and_(pc.match_substring_regex(words, ASCII), self.bare)
+        words, rest = words.filter(bare), words.filter(pc.invert(bare))
+        merged = self.model.model.tokenize
+        found = [[token.id for token in merged(word)] for word in words.to_pylist()]
+        listed = rest.to_pylist()
         lines = self._ids([" ".join(listed[i : i + LINE]) for i in range(0, len(listed), LINE)])
-        ids = np.array([i for line in lines for i in line], self.kind)
+        ids = np.fromiter(chain.from_iterable(lines), self.kind)
         after = np.flatnonzero(self.ends[ids]) + 1
-        if len(after) != len(words) or len(ids) and after[-1] != len(ids):
+        if len(after) != len(rest) or len(ids) and after[-1] != len(ids):
             raise ValueError(f"{self.path} does not mark the ends of words by {self.mark}")
-        rest = self._ids(odd.to_pylist())
-        more = np.array([i for piece in rest for i in piece], self.kind)
-        n_more = np.array([len(r) for r in rest], np.int64)
-        self.pieces = pa.concat_arrays([self.pieces, words, odd])
-        self.flat = np.concatenate([self.flat, ids, more])
-        self.sizes = np.concatenate([self.sizes, np.diff(after, prepend=0), n_more])
+        alone = self._ids(odd.to_pylist())
+        flat = [self.flat, *(np.fromiter(chain.from_iterable(x), self.kind) for x in (found, alone))]
+        sizes = [self.sizes, *(np.array([len(i) for i in x], np.int64) for x in (found, alone))]
+        self.pieces = pa.concat_arrays([self.pieces, words, rest, odd])
+        self.flat = np.concatenate([*flat[:2], ids, flat[2]])
+        self.sizes = np.concatenate([*sizes[:2], np.diff(after, prepend=0), sizes[2]])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each text."""
@@ -141,6 +155,14 @@ class Encoder:
         return found, count
 
 
+def encoder(path: str) -> Encoder:
+    """One for a vocabulary in a process: tasks that follow know the words of those before."""
+    kept = sys.modules.setdefault(f"{__name__}.kept", ModuleType("kept")).__dict__
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def slices(texts: pa.Array, most: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about `most` bytes."""
     size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -162,13 +184,13 @@ def _encoded(
     bounds = np.array(bounds or [], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        made = encoder(path)
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 keys, texts = batch.column(0)[a:b], batch.column(1)[a:b]
-                ids, count = encoder.encode(texts)
+                ids, count = made.encode(texts)
                 stop = np.cumsum(count + 1)
-                whole = np.full(int(stop[-1]), end, encoder.kind)
+                whole = np.full(int(stop[-1]), end, made.kind)
                 inner = np.ones(len(whole), bool)
                 inner[stop - 1] = False
                 whole[inner] = ids
@@ -219,9 +241,8 @@ def token_blocks(
     """The blocks of all documents, to be written by `write_tokens`. `end` is the id after each."""
     rows, n = _encoded(docs, key, text, path, end, shard_bytes)
     order = ("shard", F.asc_nulls_first("key"), "tie", "ids")
-    made = Encoder(path)
+    made = encoder(path)
     first, kind = made.first, made.kind
-    del made
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, begin, size = -1, 0, 0, 0
