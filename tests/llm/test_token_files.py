@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from textsignal.llm import grammar, queries, token_files
+from textsignal.llm import grammar, pieces, queries, token_files
 from textsignal.llm.grammar import compress, expand, pack, sizes_of, slice_ids, unpack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -65,7 +65,7 @@ SHARED, LIBRARY = token_files.Encoder(PATH), Tokenizer.from_file(PATH)
 
 
 def test_forgotten_pieces_are_learned_again(library, monkeypatch):
-    monkeypatch.setattr(token_files, "KNOWN", 2)
+    monkeypatch.setattr(pieces, "KNOWN", 2)
     encoder = token_files.Encoder(PATH)
     for _ in range(3):
         same_as_library(["one two three", "four, one"], encoder, library)

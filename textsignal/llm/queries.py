@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textsignal.llm import (
+    alignment,
     decontamination,
     exact_dedup,
     html_extract,
@@ -197,3 +198,9 @@ def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_files.token_digests(table(spark, sf_dir, "documents"), path, end=2)
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)

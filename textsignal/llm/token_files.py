@@ -24,12 +24,10 @@ task's memory.
 from __future__ import annotations
 
 import os
-import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +38,13 @@ from pyspark.sql import functions as F
 from textsignal.llm.common import measured_broadcast
 from textsignal.llm.grammar import _runs as runs
 from textsignal.llm.grammar import compress, expand, pack, slice_ids, unpack
+from textsignal.llm.pieces import Pieces, kept, slices
 from textsignal.llm.store import stored
 
 BLOCK_IDS = 1 << 18
-#: Bytes of text of a shard, and bytes of text encoded at once.
+#: Bytes of text of a shard.
 SHARD_BYTES = 64 << 20
-PIECE_BYTES = 8 << 20
-#: Pieces that a task remembers, and words in one call of the library.
-KNOWN = 1 << 20
+#: Words in one line.
 LINE = 64
 
 #: Words of letters that no normal form changes; words to try; marks; punctuation that ends a piece after a letter
@@ -64,7 +61,7 @@ BLOCKS = (
 
 
 @dataclass
-class Encoder:
+class Encoder(Pieces):
     """Ids of texts by a vocabulary that drops white space and marks the ends of words.
 
     A piece without ASCII white space is encoded as a whole, but for punctuation that follows a
@@ -92,17 +89,12 @@ class Encoder:
             [token.id for token in self.model.model.tokenize(w)] == i
             for w, i in zip(SAMPLE, self._ids(SAMPLE), strict=True)
         )
-        self._forget()
-
-    def _forget(self) -> None:
-        self.pieces = pa.array([], pa.string())
-        self.flat = np.zeros(0, self.kind)
-        self.sizes = np.zeros(0, np.int64)
+        self.forget()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: pa.Array) -> None:
+    def learn(self, pieces: pa.Array) -> None:
         """Adds pieces: ASCII words go to the merges at once, others in lines, what is no word alone."""
         plain = pc.match_substring_regex(pieces, PLAIN)
         words, odd = pieces.filter(plain), pieces.filter(pc.invert(plain))
@@ -117,11 +109,9 @@ class Encoder:
         if len(after) != len(rest) or len(ids) and after[-1] != len(ids):
             raise ValueError(f"{self.path} does not mark the ends of words by {self.mark}")
         alone = self._ids(odd.to_pylist())
-        flat = [self.flat, *(np.fromiter(chain.from_iterable(x), self.kind) for x in (found, alone))]
-        sizes = [self.sizes, *(np.array([len(i) for i in x], np.int64) for x in (found, alone))]
-        self.pieces = pa.concat_arrays([self.pieces, words, rest, odd])
-        self.flat = np.concatenate([*flat[:2], ids, flat[2]])
-        self.sizes = np.concatenate([*sizes[:2], np.diff(after, prepend=0), sizes[2]])
+        self.add(words, found)
+        self.add(rest, ids, np.diff(after, prepend=0))
+        self.add(odd, alone)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each text."""
@@ -131,44 +121,9 @@ class Encoder:
         if self.lower:
             cut = pc.if_else(pc.match_substring_regex(cut, MARKS), cut, pc.ascii_lower(cut))
         lists = pc.ascii_split_whitespace(pc.replace_substring_regex(cut, SIGNS, r"\1 \2\3"))
-        coded = lists.flatten().dictionary_encode()
-        if len(self.pieces) > KNOWN:
-            self._forget()
-        place = pc.index_in(coded.dictionary, value_set=self.pieces)
-        if place.null_count:
-            self._learn(coded.dictionary.filter(place.is_null()))
-            place = pc.index_in(coded.dictionary, value_set=self.pieces)
-        use = place.take(coded.indices).to_numpy(zero_copy_only=False).astype(np.int64)
-        begin = np.cumsum(self.sizes) - self.sizes
-        found = self.flat[runs(begin[use], self.sizes[use])]
-        after = np.concatenate([[0], np.cumsum(self.sizes[use])])
-        count = np.diff(after[lists.offsets.to_numpy()]).astype(np.int64)
+        found, count = self.looked_up(lists)
         whole = {i: self._ids([texts[i].as_py()])[0] for i in pc.indices_nonzero(special).to_pylist()}
-        if whole:
-            at = np.cumsum(count) - count
-            parts = [
-                np.array(whole[i], self.kind) if i in whole else found[at[i] : at[i] + count[i]]
-                for i in range(len(count))
-            ]
-            found = np.concatenate(parts)
-            count = np.array([len(p) for p in parts], np.int64)
-        return found, count
-
-
-def encoder(path: str) -> Encoder:
-    """One for a vocabulary in a process: tasks that follow know the words of those before."""
-    kept = sys.modules.setdefault(f"{__name__}.kept", ModuleType("kept")).__dict__
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
-
-
-def slices(texts: pa.Array, most: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about `most` bytes."""
-    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    group = np.concatenate([[0], np.cumsum(size)[:-1]]) // most
-    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(size)]
-    return ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
+        return self.put(found, count, whole)
 
 
 def _encoded(
@@ -184,7 +139,7 @@ def _encoded(
     bounds = np.array(bounds or [], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = encoder(path)
+        made = kept(Encoder, path)
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 keys, texts = batch.column(0)[a:b], batch.column(1)[a:b]
@@ -241,7 +196,7 @@ def token_blocks(
     """The blocks of all documents, to be written by `write_tokens`. `end` is the id after each."""
     rows, n = _encoded(docs, key, text, path, end, shard_bytes)
     order = ("shard", F.asc_nulls_first("key"), "tie", "ids")
-    made = encoder(path)
+    made = kept(Encoder, path)
     first, kind = made.first, made.kind
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
