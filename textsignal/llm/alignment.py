@@ -26,7 +26,6 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +40,7 @@ from textsignal.llm.pieces import Pieces, kept, slices
 from textsignal.llm.store import stored
 
 #: Bytes of text of a chunk.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Links of a group above which they are made from its distinct ids.
 LARGE_GROUP = 256
 
@@ -52,6 +51,10 @@ WHITE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{
 MARK = "\ue000"
 CUTS = (rf"([^{WHITE}])([{WHITE}])", r"(\p{L})([.,;:!?])")
 
+#: Words that are one token of A's rule, and words to try.
+ASCII = "^ ?[A-Za-z]+$"
+SAMPLE = ["a", " the", " Unbelievable", "zyxwvut", " abcdefghijklmnopqrstuvwxyz"]
+
 DOCUMENT = "key long, n_a long, n_b long, n_groups long, n_links long, digest string, distinct long"
 CHUNKS = (
     f"chunk long, documents array<struct<{DOCUMENT.replace(' ', ':').replace(',:', ',')}>>, "
@@ -80,13 +83,22 @@ class ByteLevel(Pieces):
             plain = all(c in letters for c in token)
             tokens[i] = bytes(letters[c] for c in token) if plain else token.encode()
         self.tokens = pa.array(tokens, pa.binary())
+        self.space = chr(256 + ord(" "))
         self.forget()
+        # Whether a word of ASCII letters, with or without a space, reaches the merges whole.
+        self.bare = [self._merged(w) for w in SAMPLE] == self._ids(SAMPLE)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _merged(self, word: str) -> list[int]:
+        return [token.id for token in self.model.model.tokenize(word.replace(" ", self.space))]
+
     def learn(self, pieces: pa.Array) -> None:
-        self.add(pieces, self._ids(pieces.to_pylist()))
+        bare = pc.and_(pc.match_substring_regex(pieces, ASCII), self.bare)
+        words, odd = pieces.filter(bare), pieces.filter(pc.invert(bare))
+        self.add(words, [self._merged(word) for word in words.to_pylist()])
+        self.add(odd, self._ids(odd.to_pylist()))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of texts in a row, and the number of ids of each."""
@@ -99,8 +111,13 @@ class ByteLevel(Pieces):
         return self.put(found, count, whole)
 
 
-class PieceModel:
-    """Vocabulary B: its ids of texts, and the bytes of its pieces."""
+class PieceModel(Pieces):
+    """Vocabulary B: its ids of texts with a space before them, and the bytes of its pieces.
+
+    No piece has a space behind another letter, so texts are cut before spaces.
+    """
+
+    kind = np.int32
 
     def __init__(self, path: str) -> None:
         from sentencepiece import SentencePieceProcessor
@@ -111,12 +128,25 @@ class PieceModel:
             piece = self.model.id_to_piece(i)
             byte = self.model.is_byte(i)
             tokens.append(bytes([int(piece[3:-1], 16)]) if byte else piece.replace("▁", " ").encode())
+        if any(b" " in token.lstrip(b" ") for token in tokens):
+            raise ValueError(f"{path} has pieces with a space inside")
         self.tokens = pa.array(tokens, pa.binary())
+        self.alone = [self.model.piece_to_id("▁")]
+        self.forget()
+
+    def learn(self, pieces: pa.Array) -> None:
+        # The model adds the first space itself, but to an empty text.
+        rest = pc.utf8_slice_codeunits(pieces, 1).to_pylist()
+        self.add(pieces, [i if r else self.alone for i, r in zip(self.model.encode(rest, num_threads=1), rest)])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = self.model.encode(texts, num_threads=1)
-        count = np.array([len(i) for i in found], np.int64)
-        return np.fromiter(chain.from_iterable(found), np.int32, int(count.sum())), count
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of texts, each of which begins with the added space, and the number of each."""
+        special = pc.match_substring(texts, MARK)
+        cut = pc.if_else(special, " ", texts)
+        cut = pc.replace_substring_regex(cut, "([^ ])( )", rf"\1{MARK}\2")
+        found, count = self.looked_up(pc.split_pattern(cut, MARK))
+        marked = pc.indices_nonzero(special).to_pylist()
+        return self.put(found, count, {i: self.model.encode(texts[i].as_py()[1:]) for i in marked})
 
 
 def _lists(ids: np.ndarray, count: np.ndarray) -> pa.ListArray:
@@ -191,7 +221,7 @@ def aligned(
     spaced = pc.binary_join_element_wise("", asked, " ") if len(rows) else asked
     data = spaced.cast(pa.binary()).to_pylist()
     a, count_a = a_model.encode(spaced)
-    b, count_b = b_model.encode(asked.to_pylist())
+    b, count_b = b_model.encode(spaced)
     good = _covers(a, count_a, a_model.tokens, data) & _covers(b, count_b, b_model.tokens, data)
     a, b = a[np.repeat(good, count_a)], b[np.repeat(good, count_b)]
     count_a, count_b, rows = count_a[good], count_b[good], rows[good]
@@ -265,6 +295,8 @@ def chunks(
                     columns[name] = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
                 yield pa.RecordBatch.from_pydict(columns)
                 number += 1
+                del found, columns
+                pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, CHUNKS)
 

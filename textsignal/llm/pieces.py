@@ -25,7 +25,7 @@ class Pieces:
     kind: type
 
     def forget(self) -> None:
-        self.pieces = pa.array([], pa.string())
+        self.known: dict[str, int] = {}
         self.flat = np.zeros(0, self.kind)
         self.sizes = np.zeros(0, np.int64)
 
@@ -38,20 +38,19 @@ class Pieces:
         if sizes is None:
             sizes = np.array([len(i) for i in ids], np.int64)
             ids = np.fromiter(chain.from_iterable(ids), self.kind)
-        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.known.update(zip(pieces.to_pylist(), range(len(self.known), len(self.known) + len(pieces))))
         self.flat = np.concatenate([self.flat, ids])
         self.sizes = np.concatenate([self.sizes, sizes])
 
     def looked_up(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of lists of pieces in a row, and the number of ids of each list."""
         coded = lists.flatten().dictionary_encode()
-        if len(self.pieces) > KNOWN:
+        if len(self.known) > KNOWN:
             self.forget()
-        place = pc.index_in(coded.dictionary, value_set=self.pieces)
-        if place.null_count:
-            self.learn(coded.dictionary.filter(place.is_null()))
-            place = pc.index_in(coded.dictionary, value_set=self.pieces)
-        use = place.take(coded.indices).to_numpy(zero_copy_only=False).astype(np.int64)
+        asked = coded.dictionary.to_pylist()
+        self.learn(pa.array([piece for piece in asked if piece not in self.known], pa.string()))
+        place = np.fromiter(map(self.known.__getitem__, asked), np.int64, len(asked))
+        use = place[coded.indices.to_numpy(zero_copy_only=False)]
         begin = np.cumsum(self.sizes) - self.sizes
         found = self.flat[runs(begin[use], self.sizes[use])]
         after = np.concatenate([[0], np.cumsum(self.sizes[use])])
