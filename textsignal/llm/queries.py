@@ -10,6 +10,7 @@ from textsignal.llm import (
     alignment,
     decontamination,
     exact_dedup,
+    hard_negatives,
     html_extract,
     jaccard_join,
     language,
@@ -204,3 +205,35 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.id AS anchor_id, v.id AS id, a.label = v.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.q, v.q), z -> z[1] * z[2])) AS BIGINT) AS score
+  FROM v AS a JOIN v ON a.id <> v.id WHERE a.id % 50 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS place
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+    AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE place <= 3
+"""
+
+
+@query(NEGATIVES_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(vectors["vec_id"] % 7 == 0, (vectors["label"] + 1) % 10)
+    label = moved.otherwise(vectors["label"])
+    return hard_negatives.mine(vectors, F.col("id") % 50 == 0, label=label)
