@@ -210,13 +210,13 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 NEGATIVES_SQL = """
 WITH v AS (
   SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT a.id AS anchor_id, v.id AS id, a.label = v.label AS same,
-    CAST(list_sum(list_transform(list_zip(a.q, v.q), z -> z[1] * z[2])) AS BIGINT) AS score
+    CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score
   FROM v AS a JOIN v ON a.id <> v.id WHERE a.id % 50 = 0),
 p AS (
   SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
