@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textsignal import fixed_values as fixed
 from textsignal.functions.vectors import as_array, as_vector
-from textsignal.operators import features, models
+from textsignal.operators import features, gram, models
 from textsignal.operators.evaluation import regression_metrics
 from textsignal.operators.mentions import mention_flags
-from textsignal.operators.split import hash_split
+from textsignal.operators.split import bounds, hash_split
 from textsignal.operators.summaries import class_shares, win_score
 from textsignal.plans import inputs
 from textsignal.plans.registry import query
@@ -102,13 +105,105 @@ def ols_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("coefficient", F.round("coefficient", 6))
 
 
-@query()
+# Linear fits as SQL says them: sums of products, then steps down the gradient of all coordinates, each
+# followed by a soft threshold, in a recursion.
+STEPS = 400
+DIMS = 64
+
+
+def _split_sql(seed: str, weights: list[float], key: str = "vec_id") -> str:
+    """Number of the part that a key falls into."""
+    digits = f"substr(md5('{seed}:' || {key}), 1, 8)"
+    return " + ".join(["0", *(f"CAST({digits} >= '{b}' AS INTEGER)" for b in bounds(weights))])
+
+
+def _fits_sql(weights: list[float], settings: list[dict], folds: int) -> str:
+    """Tables `train`, `test`, `sums` and `fits` (setting, held, beta, mean_x, mean_y, intercept).
+
+    `held` is the fold that a fit leaves out, or `folds` for none.
+    """
+    values = ", ".join(
+        f"({i}, {s['regParam']}::DOUBLE, {s['elasticNetParam']}::DOUBLE, {str(s['fitIntercept']).lower()})"
+        for i, s in enumerate(settings)
+    )
+    return f"""
+items AS (
+  SELECT vec_id, [1.0::DOUBLE] || [CAST(x AS DOUBLE) FOR x IN embedding] || [label / 9.0::DOUBLE] AS z,
+    {_split_sql("42", weights)} AS part, {_split_sql("fold 42", [1.0] * folds)} AS fold
+  FROM embeddings),
+train AS (SELECT * FROM items WHERE part = 0),
+test AS (SELECT * FROM items WHERE part = 1),
+pairs AS (SELECT i, unnest(range(1, {DIMS + 3})) AS j FROM (SELECT unnest(range(1, {DIMS + 3})) AS i)),
+fold_sums AS (
+  SELECT fold, i, j, sum(z[i] * z[j]) AS s FROM train, pairs GROUP BY fold, i, j),
+helds AS (SELECT unnest(range({0 if folds > 1 else 1}, {folds} + 1)) AS held),
+sums AS (
+  SELECT held, i, j, sum(s) FILTER (WHERE fold <> held) AS s, sum(s) FILTER (WHERE fold = held) AS own
+  FROM fold_sums, helds GROUP BY held, i, j),
+firsts AS (
+  SELECT held, any_value(s) FILTER (WHERE i = 1 AND j = 1) AS n,
+    list(s ORDER BY j) FILTER (WHERE i = 1) AS first, list(s ORDER BY j) FILTER (WHERE i = j) AS second
+  FROM sums GROUP BY held),
+shapes AS (
+  SELECT held, n, [a / n FOR a IN first] AS mean,
+    [sqrt(second[k] / n - (first[k] / n) * (first[k] / n)) FOR k IN range(1, {DIMS + 3})] AS spread
+  FROM firsts),
+settings(setting, reg, mix, icpt) AS (VALUES {values}),
+cells AS (
+  SELECT setting, held, i, j, (s / n - CASE WHEN icpt THEN mean[i] * mean[j] ELSE 0 END)
+    / spread[i] / spread[j] AS q, reg / spread[{DIMS + 2}] AS strength, mix
+  FROM sums JOIN shapes USING (held), settings WHERE i > 1 AND j > 1),
+rows_of AS (
+  SELECT setting, held, i, list(q ORDER BY j) FILTER (WHERE j < {DIMS + 2}) AS row_q,
+    any_value(q) FILTER (WHERE j = {DIMS + 2}) AS aim, sum(abs(q)) FILTER (WHERE j < {DIMS + 2}) AS bound,
+    any_value(strength) * any_value(mix) AS l1, any_value(strength) * (1 - any_value(mix)) AS l2
+  FROM cells WHERE i < {DIMS + 2} GROUP BY setting, held, i),
+systems AS (
+  SELECT setting, held, list(row_q ORDER BY i) AS q, list(aim ORDER BY i) AS aims,
+    any_value(l1) / (max(bound) + any_value(l2)) AS cut, any_value(l2) AS l2, max(bound) + any_value(l2) AS curve
+  FROM rows_of GROUP BY setting, held),
+steps AS (
+  SELECT setting, held, 0 AS step, [0.0::DOUBLE FOR k IN range(0, {DIMS})] AS b FROM settings, helds
+  UNION ALL
+  SELECT setting, held, step + 1, [sign(x) * greatest(0, abs(x) - cut) FOR x IN moved]
+  FROM (
+    SELECT c.setting, c.held, step, cut,
+      [b[k] + (aims[k] - list_dot_product(q[k], b) - l2 * b[k]) / curve FOR k IN range(1, {DIMS + 1})] AS moved
+    FROM steps AS c JOIN systems AS s ON c.setting = s.setting AND c.held = s.held WHERE step < {STEPS}) AS c),
+scaled AS (
+  SELECT setting, held, [b[k] * spread[{DIMS + 2}] / spread[k + 1] FOR k IN range(1, {DIMS + 1})] AS beta, mean
+  FROM steps JOIN shapes USING (held) WHERE step = {STEPS}),
+fits AS (
+  SELECT setting, held, beta, CASE WHEN icpt THEN mean[{DIMS + 2}] - list_dot_product(mean[2:{DIMS + 1}], beta)
+    ELSE 0 END AS intercept FROM scaled JOIN settings USING (setting))"""
+
+
+def _results_sql(weights: list[float]) -> str:
+    """The table `results` (setting, metric, metric_stddev, place) besides those of `_fits_sql`."""
+    grid = fixed.LINEAR_GRID
+    settings = [dict(zip(grid, values, strict=True)) for values in product(*grid.values())]
+    return f"""WITH RECURSIVE {_fits_sql(weights, settings, fixed.FOLDS)},
+errors AS (
+  SELECT setting, held, sqrt(avg(pow(z[{DIMS + 2}] - intercept - list_dot_product(z[2:{DIMS + 1}], beta), 2))) AS rmse
+  FROM fits JOIN train ON held = fold GROUP BY setting, held),
+results AS (
+  SELECT setting, avg(rmse) AS metric, stddev_pop(rmse) AS metric_stddev,
+    row_number() OVER (ORDER BY round(avg(rmse), 9), setting) AS place FROM errors GROUP BY setting)"""
+
+
+NET = {"regParam": 0.01, "elasticNetParam": 0.5, "fitIntercept": True}
+
+
+@query(f"""
+WITH RECURSIVE {_fits_sql([0.8, 0.2], [NET], 1)}
+SELECT CAST(dim AS INTEGER) AS dim, round(coefficient, 6) + 0.0 AS coefficient FROM (
+  SELECT -1 AS dim, intercept AS coefficient FROM fits WHERE held = 1
+  UNION ALL
+  SELECT unnest(range(0, {DIMS})), unnest(beta) FROM fits WHERE held = 1)""")
 def elastic_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = hash_split(inputs.embedded(spark, sf_dir), ["vec_id"], [0.8, 0.2])
-    model = models.fit_regression(
-        train, scaled=True, maxIter=10, regParam=0.01, elasticNetParam=0.5
-    )
-    return models.coefficients(spark, model)
+    fitted = gram.fit(gram.moments(train)[0], **NET)
+    return gram.coefficients(spark, fitted).withColumn("coefficient", F.round("coefficient", 6) + 0.0)
 
 
 @query()
@@ -148,10 +243,23 @@ def evaluator_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         return models.evaluate(spark, scored, "binary_label", names)
 
 
-@query()
+NAMES_SQL = "CASE setting " + " ".join(
+    f"WHEN {i} THEN '{name}'"
+    for i, name in enumerate(
+        ", ".join(f"{n}={v}" for n, v in sorted(zip(fixed.LINEAR_GRID, values, strict=True)))
+        for values in product(*fixed.LINEAR_GRID.values())
+    )
+) + " END"
+
+
+@query(f"""
+{_results_sql([0.7, 0.3])}
+SELECT {NAMES_SQL} AS setting, round(metric, 6) AS metric, round(metric_stddev, 6) AS metric_stddev,
+  place = 1 AS best FROM results""")
 def grid_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = hash_split(inputs.embedded(spark, sf_dir), ["vec_id"], [0.7, 0.3])
-    return models.search_results(spark, models.search_linear(train, key=["vec_id"]))
+    found = gram.search(train, ["vec_id"]).results(spark)
+    return found.withColumns({c: F.round(c, 6) for c in ("metric", "metric_stddev")})
 
 
 @query()
@@ -160,17 +268,27 @@ def grid_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.search_results(spark, models.search_forest(train, key=["vec_id"]))
 
 
-@query()
+@query(f"""
+{_results_sql([0.7, 0.3])},
+scores AS (
+  SELECT avg(intercept + list_dot_product(z[2:{DIMS + 1}], beta)) AS score
+  FROM test, fits JOIN results USING (setting) WHERE place = 1 AND held = {fixed.FOLDS})
+SELECT round(score, 6) AS score_a, round(1 - score, 6) AS score_b FROM scores""")
 def best_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = hash_split(inputs.embedded(spark, sf_dir), ["vec_id"], [0.7, 0.3])
-    best = models.search_linear(train, key=["vec_id"]).bestModel
-    return win_score(best.transform(test), "prediction", ("a", "b"))
+    best = gram.search(train, ["vec_id"]).best
+    scored = test.withColumn("prediction", best.predicted(F.col("features")))
+    found = win_score(scored, "prediction", ("a", "b"))
+    return found.withColumns({c: F.round(c, 6) for c in found.columns})
 
 
-@query()
+@query(f"""
+{_results_sql([0.7, 0.3])}
+SELECT split_part(entry, '=', 1) AS param, split_part(entry, '=', 2) AS value
+FROM (SELECT unnest(string_split({NAMES_SQL}, ', ')) AS entry FROM results WHERE place = 1)""")
 def best_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = hash_split(inputs.embedded(spark, sf_dir), ["vec_id"], [0.7, 0.3])
-    return models.best_parameters(spark, models.search_linear(train, key=["vec_id"]))
+    return gram.search(train, ["vec_id"]).parameters(spark)
 
 
 # --- forms with a known answer, to check the fits by SQL ---------------------------------
