@@ -164,7 +164,8 @@ def fit(
     means = rows.means()
     spread = np.sqrt(np.maximum(np.diag(rows.products(means)), 0.0))
     # What rounding leaves of a column that doesn't vary is no spread.
-    spread[spread <= 1e-9 * np.maximum(np.abs(means), 1e-300)] = 0.0
+    far = np.sqrt(np.diag(rows.sums)[1:] / max(1, rows.n))
+    spread[spread <= 1e-7 * far + 1e-14 * np.abs(means)] = 0.0
     x, y = spread[:-1], spread[-1]
     if not rows.n or not y:
         zeros = np.zeros(len(x))
