@@ -102,13 +102,12 @@ def moments(
         as_array(F.col(features), "float64").alias("x"),
         F.col(label).cast("double").alias("y"),
     )
+    if rows.isEmpty():
+        return {}
     some = rows.limit(PIVOT_ROWS).agg(
         Summarizer.mean(array_to_vector(F.concat("x", F.array("y")))).alias("mean")
     )
-    mean = some.first()["mean"]
-    if mean is None or not len(mean):
-        return {}
-    pivot = np.concatenate([[0.0], mean.toArray()])
+    pivot = np.concatenate([[0.0], some.first()["mean"].toArray()])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
