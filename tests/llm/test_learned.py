@@ -1,6 +1,7 @@
 """Language, toxicity and page text: held-out accuracy, plain scans, odd tables."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -206,3 +207,49 @@ def test_field_without_labelled_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a</p>")], "page_id long, url string, html string")
     field = html_extract.fit(pages)
     assert html_extract.extract(pages, field).first().text == "a"
+
+
+def quadratic_segments(hits, drift):
+    """The same list of segments by walking back over all of them."""
+    found, total, at = [], 0.0, 0
+    for place, score in hits:
+        total -= drift * (place - at)
+        new = [place, place, total, total + score]
+        total, at = total + score, place + 1
+        while True:
+            k = len(found) - 1
+            while k >= 0 and found[k][2] >= new[2]:
+                k -= 1
+            if k < 0 or found[k][3] >= new[3]:
+                break
+            new = [found[k][0], new[1], found[k][2], new[3]]
+            del found[k:]
+        found.append(new)
+    return [(a, b, y - x) for a, b, x, y in found]
+
+
+def test_segments_equal_those_by_walking_back():
+    rng = random.Random(8)
+    for _ in range(300):
+        places = sorted(rng.sample(range(200), rng.randrange(1, 60)))
+        hits = [(p, rng.choice([0.25, 0.5, 1.0, 2.5])) for p in places]
+        assert toxicity.segments(hits, 0.25) == quadratic_segments(hits, 0.25)
+
+
+def test_sparse_hits_of_a_long_text_take_linear_time():
+    hits = [(i * 40, 1.0 + i % 3) for i in range(160_000)]
+    started = time.perf_counter()
+    assert len(toxicity.segments(hits)) == 160_000
+    assert time.perf_counter() - started < 1.0
+
+
+def test_word_counts_do_not_depend_on_partitions(spark, documents, monkeypatch):
+    rows = [(i, f"plain words number {i % 40} of many kinds and more") for i in range(200)]
+    rows += [(1000 + i, f"horrid nasty filth number {i % 50} you vile thing {i}") for i in range(100)]
+    labels = spark.createDataFrame([(k, int(k >= 1000)) for k, _ in rows], "doc_id long, toxic int")
+    found = []
+    for parts in (1, 64):
+        monkeypatch.setattr(toxicity, "READ_PARTS", parts)
+        found.append(toxicity.fit(documents(rows).repartition(parts), labels))
+    assert found[0].scores == found[1].scores and "horrid" in found[0].scores
+    assert found[0].slope == pytest.approx(found[1].slope)

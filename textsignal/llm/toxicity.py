@@ -2,9 +2,9 @@
 
 1. Counts of the words, and of beginnings of words, of toxic and other training texts, with a Dirichlet prior proportional to the
    counts of both, give each word a log-odds ratio and its standard error. A word between the same
-   two words counts once, so that near copies of a text add little. Those with a ratio of at least
-   `LEAST_RATIO`, `LEAST_Z` errors above 0, are kept, at most `MOST_WORDS`. A word scores the
-   largest ratio kept for it; all other words cost `DRIFT`.
+   two words counts once a class, so that near copies of a text add little: contexts are rows, which
+   Spark makes distinct and counts. Words with a ratio of at least `LEAST_RATIO`, `LEAST_Z` errors
+   above 0, are kept. A word scores the largest ratio kept for it; all other words cost `DRIFT`.
 2. A linear scan (Ruzzo and Tompa) finds every maximal segment of a text. Only kept words can begin
    or end one, so the words between two of them are added up in one step.
 3. Extreme-value theory tells how many segments of a score a clean text of that length would have
@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,9 +34,8 @@ from textsignal.llm.language import labelled_sample
 from textsignal.llm.store import stored
 
 PER_CLASS = 5_000
-MOST_WORDS = 20_000
-#: Tasks that count the words of the sample, so that each counts few.
-COUNT_PARTS = 64
+#: Tasks that read the words of the sample; results don't depend on it.
+READ_PARTS = 64
 LEAST_Z = 4.0
 LEAST_RATIO = 1.0
 PRIOR = 0.05
@@ -80,26 +78,27 @@ def segments(hits: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple[
 
     `hits` are the places and scores of the words with positive scores; each word between them
     scores -`drift`. Segments are kept in a list in which each one knows the sums before its first
-    word and after its last one.
+    word and after its last one, and the nearest earlier one with a smaller sum before it. Those in
+    between are never looked at again, so the time is linear.
     """
-    found: list[tuple[int, int, float, float]] = []  # first, last, sum before, sum after
+    # first, last, sum before, sum after, place of the nearest one with a smaller sum before
+    found: list[tuple[int, int, float, float, int]] = []
     total, at = 0.0, 0
     for place, score in hits:
         total -= drift * (place - at)
-        first, before = place, total
-        total += score
+        first, before, total = place, total, total + score
         at = place + 1
-        new = (first, place, before, total)
+        k = len(found) - 1
         while True:
-            k = len(found) - 1
-            while k >= 0 and found[k][2] >= new[2]:
-                k -= 1
-            if k < 0 or found[k][3] >= new[3]:
+            while k >= 0 and found[k][2] >= before:
+                k = found[k][4]
+            if k < 0 or found[k][3] >= total:
                 break
-            new = (found[k][0], new[1], found[k][2], new[3])
+            first, _, before, _, link = found[k]
             del found[k:]
-        found.append(new)
-    return [(a, b, after - before) for a, b, before, after in found]
+            k = link
+        found.append((first, place, before, total, k))
+    return [(a, b, after - before) for a, b, before, after, _ in found]
 
 
 def decay_rate(share: np.ndarray, score: np.ndarray, drift: float = DRIFT) -> float:
@@ -187,32 +186,29 @@ def fit(
         .drop("_copy")
     )
 
-    # Near copies mostly share their least word hash, and then meet in one partition.
-    hashes = F.transform(F.split(F.lower("text"), r"\s+"), lambda w: F.xxhash64(w))
-    near = texts.repartition(COUNT_PARTS, F.array_min(hashes))
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
-        n: dict[str, list[int]] = {}
+    def contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for text, value in zip(frame["text"], frame["label"], strict=True):
                 ws = ["", *WORDS.findall(text.lower()), ""]
-                for before, word, after in zip(ws, ws[1:], ws[2:]):
-                    context = f"{value} {before} {word} {after}".encode()
-                    place = zlib.crc32(context) << 32 | zlib.adler32(context)
-                    if place not in seen:
-                        seen.add(place)
-                        for unit in units(word):
-                            n.setdefault(unit, [0, 0])[value] += 1
-        if n:
-            yield pd.DataFrame(
-                {"unit": list(n), "y0": [c[0] for c in n.values()], "y1": [c[1] for c in n.values()]}
-            )
-
+                if len(ws) > 2:
+                    yield pd.DataFrame(
+                        {"label": value, "before": ws[:-2], "word": ws[1:-1], "after": ws[2:]}
+                    )
+
+    shown = "label int, before string, word string, after string"
+    spread = texts.repartition(READ_PARTS, "text").mapInPandas(contexts, shown)
+    known = spread.distinct().groupBy("label", "word").count()
+    long = F.length("word")
+    forms = [F.when(long > n, F.concat(F.substring("word", 1, n), F.lit(STEM))) for n in BEGINNINGS]
+    each = known.select("label", "count", F.explode(F.array("word", *forms)).alias("unit"))
+    count = F.col("count")
     words = stored(
-        near.mapInPandas(count, "unit string, y0 long, y1 long")
+        each.where(F.col("unit").isNotNull())
         .groupBy("unit")
-        .agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0"))
+        .agg(
+            F.sum(F.when(F.col("label") == 1, count).otherwise(0)).alias("y1"),
+            F.sum(F.when(F.col("label") == 0, count).otherwise(0)).alias("y0"),
+        )
     )
     whole = words.where(~F.col("unit").endswith(STEM))
     n = whole.agg(F.sum("y1").alias("n1"), F.sum("y0").alias("n0")).first()
@@ -229,11 +225,9 @@ def fit(
     kept = (
         words.select("unit", ratio.alias("ratio"), (ratio / error).alias("z"), (y0 + prior).alias("clean"))
         .where((F.col("z") >= LEAST_Z) & (F.col("ratio") >= LEAST_RATIO))
-        .orderBy(F.desc("z"), "unit")
-        .limit(MOST_WORDS)
         .collect()
     )
-    # Units with one head are forms of one another: the most frequent and the worst stand for all.
+    # Of a bounded sample, so a bounded number. Units with one head are forms of one another: the most frequent and the worst stand for all.
     heads: dict[str, tuple[float, float]] = {}
     for r in kept:
         head = r["unit"].rstrip(STEM)[:HEAD]
