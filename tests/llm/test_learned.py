@@ -244,8 +244,13 @@ def test_sparse_hits_of_a_long_text_take_linear_time():
 
 
 def test_word_counts_do_not_depend_on_partitions(spark, documents, monkeypatch):
-    rows = [(i, f"plain words number {i % 40} of many kinds and more") for i in range(200)]
-    rows += [(1000 + i, f"horrid nasty filth number {i % 50} you vile thing {i}") for i in range(100)]
+    chance = random.Random(5)
+    plain = ["".join(chance.choices("abcdef", k=4)) for _ in range(30)]
+    rows = []
+    for i in range(300):
+        words = chance.choices(plain, k=30)
+        words[5:6] = ["horrid", chance.choice(plain), "horrid"] if i >= 200 else ["lovely"]
+        rows.append((i + 800, " ".join(words)))
     labels = spark.createDataFrame([(k, int(k >= 1000)) for k, _ in rows], "doc_id long, toxic int")
     found = []
     for parts in (1, 64):
