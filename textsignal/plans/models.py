@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textsignal import fixed_values as fixed
 from textsignal.functions.vectors import as_array, as_vector
-from textsignal.operators import features, gram, models
+from textsignal.operators import features, gram, models, topics
 from textsignal.operators.evaluation import regression_metrics
 from textsignal.operators.mentions import mention_flags
 from textsignal.operators.split import bounds, hash_split
@@ -23,18 +23,94 @@ SEGMENT = ["source", "segment_id"]
 
 @query()
 def topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counter, topics = features.topic_model(inputs.segments(spark, sf_dir), "segment")
-    return features.topic_terms(counter, topics)
+    counter, fitted = features.topic_model(inputs.segments(spark, sf_dir), "segment")
+    return features.topic_terms(counter, fitted)
 
 
 @query()
 def topic_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = inputs.segments(spark, sf_dir)
-    counter, topics = features.topic_model(cut, "segment")
-    mixed = features.topic_mixture(cut, counter, topics)
+    counter, fitted = features.topic_model(cut, "segment")
+    mixed = features.topic_mixture(cut, counter, fitted)
     return features.elements(mixed, SEGMENT, "mixture", "share")
 
 
+FACTOR_ROUNDS = 3
+
+
+def _factors_sql(rounds: int, k: int = fixed.TOPICS) -> str:
+    """Tables `texts_<rounds>` and `words_<rounds>` with columns t0, t1, ... after that many rounds."""
+
+    def start(name: str, i: int) -> str:
+        digits = f"substr(md5('topic:{i}:' || {name}), 1, 8)"
+        return f"1 + CAST(CAST('0x' || {digits} AS BIGINT) AS DOUBLE) / 4294967296 AS t{i}"
+
+    product = " + ".join(f"a.t{i} * b.t{i}" for i in range(k))
+    parts = [
+        f"{inputs.SEGMENTS_SQL}",
+        """said AS (SELECT source || ':' || segment_id AS id, source, segment_id, unnest(segment) AS word FROM segments)""",
+        f"""vocab AS MATERIALIZED (
+  SELECT word FROM said GROUP BY word HAVING count(DISTINCT id) >= {fixed.VOCABULARY_MIN_DOCUMENTS}
+  ORDER BY count(*) DESC, word LIMIT {fixed.VOCABULARY_SIZE})""",
+        """counts AS MATERIALIZED (
+  SELECT id, source, segment_id, word, count(*)::DOUBLE AS n FROM said JOIN vocab USING (word) GROUP BY ALL)""",
+        f"""texts_0 AS MATERIALIZED (
+  SELECT *, {", ".join(start("id", i) for i in range(k))}
+  FROM (SELECT DISTINCT id, source, segment_id FROM counts))""",
+        f"words_0 AS MATERIALIZED (SELECT word, {', '.join(start('word', i) for i in range(k))} FROM vocab)",
+    ]
+    for r in range(rounds):
+        sums = ", ".join(f"sum(n / ({product}) * b.t{i}) * any_value(a.t{i}) / any_value(s{i}) AS t{i}" for i in range(k))
+        word_sums = ", ".join(f"sum(n / ({product}) * a.t{i}) * any_value(b.t{i}) / any_value(s{i}) AS t{i}" for i in range(k))
+        totals = ", ".join(f"sum(t{i}) AS s{i}" for i in range(k))
+        parts.append(
+            f"""texts_{r + 1} AS MATERIALIZED (
+  SELECT c.id, c.source, c.segment_id, {sums} FROM counts AS c JOIN texts_{r} AS a ON c.id = a.id
+  JOIN words_{r} AS b ON c.word = b.word, (SELECT {totals} FROM words_{r}) GROUP BY c.id, c.source, c.segment_id)"""
+        )
+        parts.append(
+            f"""words_{r + 1} AS MATERIALIZED (
+  SELECT c.word, {word_sums}
+  FROM counts AS c JOIN texts_{r + 1} AS a ON c.id = a.id
+  JOIN words_{r} AS b ON c.word = b.word, (SELECT {totals} FROM texts_{r + 1}) GROUP BY c.word)"""
+        )
+    return ",\n".join(parts)
+
+
+FACTORS_SQL = _factors_sql(FACTOR_ROUNDS)
+TOTALS_SQL = ", ".join(f"sum(t{i}) AS s{i}" for i in range(fixed.TOPICS))
+
+
+def _factors(spark: SparkSession, sf_dir: str) -> topics.Topics:
+    cut = inputs.segments(spark, sf_dir)
+    return topics.factor_topics(cut, SEGMENT, "segment", rounds=FACTOR_ROUNDS)
+
+
+@query(f"""
+WITH {FACTORS_SQL},
+each AS (
+  SELECT word, unnest(range(0, {fixed.TOPICS})) AS topic,
+    unnest([{", ".join(f"t{i} / s{i}" for i in range(fixed.TOPICS))}]) AS weight
+  FROM words_{FACTOR_ROUNDS}, (SELECT {TOTALS_SQL} FROM words_{FACTOR_ROUNDS})),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(weight, 9) DESC, word) AS place FROM each)
+SELECT CAST(topic AS INTEGER) AS topic, CAST(place AS INTEGER) AS place, word, round(weight, 6) AS weight
+FROM placed WHERE place <= {fixed.TOPIC_TERMS}""")
+def factor_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _factors(spark, sf_dir).terms().withColumn("weight", F.round("weight", 6))
+
+
+@query(f"""
+WITH {FACTORS_SQL},
+weighed AS (
+  SELECT source, segment_id, [{", ".join(f"t{i} * s{i}" for i in range(fixed.TOPICS))}] AS parts
+  FROM texts_{FACTOR_ROUNDS}, (SELECT {TOTALS_SQL} FROM words_{FACTOR_ROUNDS}))
+SELECT source, segment_id, CAST(unnest(range(0, {fixed.TOPICS})) AS INTEGER) AS topic,
+  round(unnest([p / list_sum(parts) FOR p IN parts]), 6) AS share FROM weighed""")
+def factor_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _factors(spark, sf_dir).mixture().withColumn("share", F.round("share", 6))
+
+
 @query()
 def segment_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     embedded = features.embed(inputs.segments(spark, sf_dir), "segment", "embedding")
