@@ -136,15 +136,10 @@ def fit_embedding(
         return estimator.fit(sentences)
 
 
-def counted_vectors(
-    df: DataFrame, tokens: str, size: int, window: int = fixed.CONTEXT_WORDS
-) -> DataFrame:
-    """Word vectors from counts, as rows `[word, dim, value]` without zeros.
+def near_words(df: DataFrame, tokens: str, window: int = fixed.CONTEXT_WORDS) -> DataFrame:
+    """Words up to `window` places apart, both ways: `[a, b, w]`, weights `window` + 1 - distance.
 
-    Every word up to `window` places away adds to the dimension of its hash, with the sign of its
-    hash and the weight `window` + 1 - distance; the value is the mean over the word's occurrences.
-    Words are never held together, neither on the driver nor in a task, and the same rows give the
-    same vectors however they are partitioned.
+    The rows of both ways are not added up where a and b are one word.
     """
     words = F.col(tokens)
 
@@ -159,7 +154,20 @@ def counted_vectors(
     pairs = [pairs_at(d) for d in range(1, window + 1)]
     near = df.select(F.explode_outer(F.concat(*pairs)).alias("_p")).where(F.col("_p").isNotNull())
     both = near.groupBy("_p.a", "_p.b").agg(F.sum("_p.w").alias("w"))
-    both = both.select("a", "b", "w").union(both.select("b", "a", "w"))
+    return both.select("a", "b", "w").union(both.select("b", "a", "w"))
+
+
+def counted_vectors(
+    df: DataFrame, tokens: str, size: int, window: int = fixed.CONTEXT_WORDS
+) -> DataFrame:
+    """Word vectors from counts, as rows `[word, dim, value]` without zeros.
+
+    Every word up to `window` places away adds to the dimension of its hash, with the sign of its
+    hash and the weight `window` + 1 - distance; the value is the mean over the word's occurrences.
+    Words are never held together, neither on the driver nor in a task, and the same rows give the
+    same vectors however they are partitioned.
+    """
+    both = near_words(df, tokens, window)
     digits = F.conv(F.substring(F.md5("b"), 1, 8), 16, 10).cast("long")
     signed = F.when(F.floor(digits / size) % 2 == 0, F.col("w")).otherwise(-F.col("w"))
     sums = both.groupBy(

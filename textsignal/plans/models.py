@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textsignal import fixed_values as fixed
 from textsignal.functions.vectors import as_array, as_vector
-from textsignal.operators import features, gram, models, topics
+from textsignal.operators import features, gram, models, topics, word_factors
 from textsignal.operators.evaluation import regression_metrics
 from textsignal.operators.mentions import mention_flags
 from textsignal.operators.split import bounds, hash_split
@@ -146,6 +146,59 @@ def counted_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("value", F.round(F.col("value") + 0.0, 6))
 
 
+WORD_SIZE = 2
+WORD_ROUNDS = 2
+
+
+def _word_factors_sql(rounds: int) -> str:
+    """Tables `ratios` and `columns_<rounds>` (word, x, y) after that many rounds."""
+    hashed = [
+        f"CAST(CAST('0x' || substr(md5('word:{i}:' || a), 1, 8) AS BIGINT) AS DOUBLE) / 2147483648 - 1" for i in (0, 1)
+    ]
+    parts = [
+        inputs.SEGMENTS_SQL,
+        f"""near AS (
+  SELECT segment[i] AS a, segment[i + d] AS b, {fixed.CONTEXT_WORDS} + 1 - d AS w
+  FROM (SELECT segment, d, unnest(range(1, len(segment) - d + 1)) AS i
+        FROM segments, (SELECT unnest(range(1, {fixed.CONTEXT_WORDS} + 1)) AS d)))""",
+        """together AS MATERIALIZED (
+  SELECT a, b, sum(w)::DOUBLE AS w FROM (SELECT a, b, w FROM near UNION ALL SELECT b, a, w FROM near) GROUP BY a, b)""",
+        "weights AS MATERIALIZED (SELECT a, sum(w) AS s FROM together GROUP BY a)",
+        """ratios AS MATERIALIZED (
+  SELECT t.a, t.b, ln(t.w * (SELECT sum(s) FROM weights) / (p.s * q.s)) AS value
+  FROM together AS t JOIN weights AS p ON t.a = p.a JOIN weights AS q ON t.b = q.a
+  WHERE ln(t.w * (SELECT sum(s) FROM weights) / (p.s * q.s)) > 0)""",
+        f"columns_0 AS MATERIALIZED (SELECT a AS word, {hashed[0]} AS x, {hashed[1]} AS y FROM (SELECT DISTINCT a FROM ratios))",
+    ]
+    for r in range(rounds):
+        parts.append(
+            f"""made_{r} AS MATERIALIZED (
+  SELECT a AS word, sum(value * x) AS x, sum(value * y) AS y FROM ratios JOIN columns_{r} ON b = word GROUP BY a)"""
+        )
+        parts.append(f"gram_{r} AS MATERIALIZED (SELECT sum(x * x) AS xx, sum(x * y) AS xy, sum(y * y) AS yy FROM made_{r})")
+        parts.append(
+            f"""columns_{r + 1} AS MATERIALIZED (
+  SELECT word, x / sqrt(xx) AS x, (y - x * xy / xx) / sqrt(yy - xy * xy / xx) AS y FROM made_{r}, gram_{r})"""
+        )
+    return ",\n".join(parts)
+
+
+@query(f"""
+WITH {_word_factors_sql(WORD_ROUNDS)},
+said AS (SELECT source, segment_id, len(segment) AS size, unnest(segment) AS word FROM segments),
+means AS (
+  SELECT source, segment_id, sum(x) / any_value(size) AS x, sum(y) / any_value(size) AS y
+  FROM said JOIN columns_{WORD_ROUNDS} USING (word) GROUP BY source, segment_id)
+SELECT source, segment_id, 0 AS dim, round(x, 6) + 0.0 AS value FROM means
+UNION ALL SELECT source, segment_id, 1, round(y, 6) + 0.0 FROM means""")
+def factored_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = inputs.segments(spark, sf_dir)
+    found = word_factors.factor_words(cut, "segment", WORD_SIZE, WORD_ROUNDS)
+    means = word_factors.mean_vectors(cut, SEGMENT, "segment", found.columns, WORD_SIZE)
+    each = means.select(*SEGMENT, F.posexplode("v").alias("dim", "value"))
+    return each.withColumn("value", F.round("value", 6) + 0.0)
+
+
 @query()
 def assembled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = mention_flags(inputs.segments(spark, sf_dir), "segment", inputs.SUBJECTS)
