@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from textsignal import fixed_values as fixed
 from textsignal.functions.mentions import first_context, first_position
 from textsignal.operators import evaluation, features, models
-from textsignal.operators.annotate import Scorer, annotate, build_prompts, parse_reply
+from textsignal.operators.annotate import Scorer, annotate_into, build_prompts, parse_reply
 from textsignal.operators.labels import attach_labels, binarize
 from textsignal.operators.lexicon import lexicon_score
 from textsignal.operators.mentions import mention_contexts, mention_flags
@@ -155,11 +155,12 @@ def store_replies(
     spark: SparkSession, prompts_path: str, replies_path: str, scorer: Scorer,
     max_attempts: int | None = None,
 ) -> None:
-    """Second part: the scorer's replies; without `max_attempts` each prompt is asked until it has one."""
+    """Second part: the scorer's replies; without `max_attempts` each prompt is asked until it has one.
+
+    Replies that the table already has are kept, so that a run goes on where one before it stopped.
+    """
     asked = read_parquet(spark, prompts_path)
-    write_parquet(
-        annotate(asked, [*SEGMENT, "prompt"], scorer, max_attempts=max_attempts), replies_path
-    )
+    annotate_into(asked, [*SEGMENT, "prompt"], scorer, replies_path, max_attempts=max_attempts)
 
 
 def store_parsed_labels(
