@@ -1,4 +1,4 @@
-"""Frames that one round of an iteration hands to the next."""
+"""Frames that one round of an iteration, or one step of a query, hands to the next."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _own: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,6 +29,23 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame) -> DataFrame:
     """The same rows, computed once and written as Parquet, so that plans don't grow from round to
     round and lost executors cost no more than one step."""
-    path = f"{shared_folder(df.sparkSession)}/round-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def new_path(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing uses; `drop_written` will delete what is there."""
+    path = f"{shared_folder(spark)}/round-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_written(spark: SparkSession) -> int:
+    """Deletes what this session has written here; frames that read it can't be used afterwards."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    context = spark.sparkContext
+    for path in paths:
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)

@@ -21,8 +21,8 @@ from textsignal.operators.annotate import Scorer, annotate_into, build_prompts,
 from textsignal.operators.labels import attach_labels, binarize
 from textsignal.operators.lexicon import lexicon_score
 from textsignal.operators.mentions import mention_contexts, mention_flags
-from textsignal.operators.segments import segment_tokens
 from textsignal.operators.split import hash_split
+from textsignal.operators.stitching import stitch_segments, store_tokens, stored_spans
 from textsignal.operators.summaries import (
     class_shares,
     complement_scores,
@@ -72,10 +72,15 @@ def store_segments(
     spark: SparkSession, transcripts: str, cleaned_path: str, segments_path: str,
     subjects: Sequence[str], n: int = fixed.SEGMENT_TOKENS,
 ) -> None:
-    """Step 1. The cleaned documents are stored first, so texts are cleaned only once."""
+    """Step 1. The cleaned documents are stored first, so texts are cleaned only once.
+
+    Transcripts are long: whole segments are cut where a document lies, only its ends are shuffled.
+    """
     write_parquet(clean_transcripts(read_documents(spark, transcripts)), cleaned_path)
     cleaned = read_parquet(spark, cleaned_path)
-    cut = segment_tokens(cleaned, SHOW, ["file_name"], "filtered_tokens", n)
+    stored = store_tokens(cleaned, SHOW, ["file_name"], "filtered_tokens")
+    spans = stored_spans(stored, SHOW, ["file_name"])
+    cut = stitch_segments(stored, spans, SHOW, "filtered_tokens", n)
     write_parquet(mention_flags(cut, "segment", subjects), segments_path)
 
 
