@@ -67,7 +67,7 @@ def test_inner_tokens_are_not_shuffled_and_cleaning_runs_once(spark):
     assert "regexp_replace" not in plan
     physical = plan.split("== Physical Plan ==")[1]
     # Up to the join, the tokens come from their bucket; the other side is narrow.
-    scans = [line for line in physical.split("\n") if "FileScan" in line and "tokens#" in line]
+    scans = [line for line in physical.split("\n") if "FileScan" in line and ",tokens#" in line]
     assert len(scans) == 2 and all("Bucketed: true" in line for line in scans)
     # A shuffle of tokens before the pieces would be an exchange right above such a scan's rows.
     above = [physical.split(line)[0].rstrip().split("\n")[-3:] for line in scans]
