@@ -9,10 +9,12 @@ from textsignal.functions.mentions import first_context, first_position
 from textsignal.functions.text import clean_text, name_from_path, words
 from textsignal.operators.features import attach_by_array, mean_vector
 from textsignal.operators import tokens
+from textsignal.operators.heavy_words import heavy_words
 from textsignal.operators.lexicon import lexicon_score
 from textsignal.operators.mentions import mention_contexts, mention_flags
 from textsignal.operators.running import row_numbers
 from textsignal.operators.stitching import stitch_segments, store_tokens, stored_spans
+from textsignal.operators.subjects import subject_mentions
 from textsignal.operators.summaries import distinct_count, distribution, shape
 from textsignal.operators.vocabulary import top_vocab, used_words
 from textsignal.plans import inputs
@@ -228,6 +230,23 @@ def mention_contexts_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("context", F.array_join("context", " "))
 
 
+#: Many subjects: each consonant, vowel, consonant.
+MANY_SUBJECTS = [a + v + b for a in "bcdfglmnprst" for v in "aeiou" for b in "lnrst"]
+
+
+@query(f"""
+WITH {inputs.TOKENS_SQL},
+subjects(subject) AS (VALUES {", ".join(f"('{s}')" for s in MANY_SUBJECTS)}),
+each AS (SELECT doc_id, source, unnest(tokens) AS token, unnest(range(1, len(tokens) + 1)) AS p FROM tokens),
+hits AS (
+  SELECT token, subject FROM (SELECT DISTINCT token FROM each) JOIN subjects ON contains(token, subject))
+SELECT doc_id, source, subject, count(*) AS n, CAST(min(p) AS INTEGER) AS first_position
+FROM each JOIN hits USING (token) GROUP BY doc_id, source, subject""")
+def many_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = inputs.tokens(spark, sf_dir)
+    return subject_mentions(found, ["doc_id", "source"], "tokens", MANY_SUBJECTS)
+
+
 def _name_sql(path: str) -> str:
     found = f"regexp_extract({path}, '{fixed.PATH_NAME}', 1)"
     return (
@@ -298,6 +317,12 @@ def top_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_vocab(inputs.segments(spark, sf_dir), "segment")
 
 
+@query(f"WITH {_VOCAB_SQL} SELECT word, n, documents, rank FROM vocab")
+def heavy_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal to `top_vocabulary`, with counters whose number does not grow with the words."""
+    return heavy_words(inputs.segments(spark, sf_dir), "segment")
+
+
 @query(f"""
 WITH {_VOCAB_SQL},
 used AS (
