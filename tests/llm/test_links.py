@@ -150,6 +150,31 @@ def test_passages_equal_plain_windows(documents, monkeypatch, shard):
     assert found == dict(enumerate(plain.without_repeats(texts)))
 
 
+@pytest.mark.parametrize("most", [50_000, 3])
+def test_passages_that_many_texts_share_send_few_records_and_are_dealt_evenly(documents, monkeypatch, most):
+    monkeypatch.setattr(passage_dedup, "PIECE", 4000)
+    monkeypatch.setattr(passage_dedup, "DEAL", 8)
+    monkeypatch.setattr(passage_dedup, "SEEN", most)
+    common = text(40)
+    texts = [common + f" {i} " + text(30) for i in range(600)]
+    df = documents(list(enumerate(texts))).coalesce(1)
+    sent = passage_dedup._sent(passage_dedup._rows(df, "doc_id", "text"), 6).collect()
+    size = passage_dedup.RECORD.itemsize
+    grams = [g for row in sent if not row.covered for g in np.frombuffer(row.grams, np.uint64).tolist()]
+    # The inner part of the common passage is sent by few of the about 60 pieces that have it.
+    inner = passage_dedup.records([common.encode()], np.zeros(1, "i8"), np.zeros(1, "i8"), [(0, 0, len(common))])[0]
+    assert most == 3 or min(grams.count(int(g)) for g in inner) < 10
+    covered = [0] * 6
+    for row in sent:
+        if row.covered:
+            covered[row.group] += len(row.records) // size
+    assert sum(covered) > 600 and max(covered) < 1.5 * min(covered)
+    got = passage_dedup.dedup_passages(df)
+    columns = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    found = {r.doc_id: tuple(r[c] for c in columns) for r in got.collect()}
+    assert found == dict(enumerate(plain.without_repeats(texts)))
+
+
 def test_passages_of_null_keys_and_no_rows(documents):
     passage = text(60)
     got = passage_dedup.dedup_passages(documents([(4, passage), (None, passage), (4, passage)]))

@@ -6,7 +6,8 @@ equal grams, and neighbouring windows mostly the same one. A run of windows with
 record: its gram, a hash of the bytes it spans, and its place.
 
 1. Records with one gram meet. Those that span equal bytes are copies: all but the first are covered.
-   Copies near one another meet before anything is sent.
+   Copies in one task meet before anything is sent, so a passage that very many texts share sends few
+   records a task; covered records are dealt evenly over the groups.
 2. Where spans of one gram differ, or a gram repeats within a window, the first record of each
    span is open: its bytes are fetched. Open
    records with one gram go to one shard, whose suffix array (Larsson and Sadakane) and common
@@ -41,6 +42,9 @@ PIECE = 1 << 20
 #: Bytes of text whose records are one group, and open records of a group and of a shard.
 GROUP_BYTES = 8 << 20
 OPEN_GROUP = 4_000
+#: Covered records that travel together, and spans that a task remembers.
+DEAL = 1_024
+SEEN = 50_000
 SHARD = 8_000
 
 #: A record: the document (key and a hash of its text), its first window, how many follow, and
@@ -124,31 +128,69 @@ def _firsts(grams: np.ndarray, spans: np.ndarray, found: np.ndarray) -> tuple[np
     return order, first
 
 
+class _Seen:
+    """Spans that a task has met more than once, with the first place of each that it has sent.
+
+    A span that is forgotten is sent again: the memory bounds what is spared, not what is found.
+    """
+
+    def __init__(self) -> None:
+        self.first: dict[tuple[int, int], tuple[int, int, int]] = {}
+        self.grams = np.empty(0, np.uint64)
+
+    def covered(self, grams: np.ndarray, spans: np.ndarray, found: np.ndarray, again: np.ndarray) -> np.ndarray:
+        """Whether an earlier place of the same span has been sent. Of spans that are not known, those
+        marked as met `again` are remembered."""
+        done = np.zeros(len(grams), bool)
+        known = self.first
+        size = len(known)
+        for i in np.flatnonzero(again | np.isin(grams, self.grams)).tolist():
+            name = (int(grams[i]), int(spans[i]))
+            place = (int(found["doc"][i]), int(found["tag"][i]), int(found["low"][i]))
+            before = known.get(name)
+            if before is not None and before < place:
+                done[i] = True
+            elif before is not None or again[i] and len(known) < SEEN:
+                known[name] = place
+        if len(known) > size:
+            self.grams = np.unique(np.fromiter((gram for gram, _ in known), np.uint64, len(known)))
+        return done
+
+
 def _sent(rows: DataFrame, groups: int) -> DataFrame:
-    """Rows (group, covered, grams, spans, records), packed; copies in one piece meet here."""
+    """Rows (group, covered, grams, spans, records), packed; copies in one task meet here."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, dealt = _Seen(), 0
         for batch in batches:
             docs = batch.column(0).to_numpy(zero_copy_only=False)
             tags = batch.column(1).to_numpy(zero_copy_only=False)
             texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(2).to_pylist()]
-            for part, group in enumerate(_pieces(texts)):
+            for group in _pieces(texts):
                 grams, spans, found = records(texts, docs, tags, group)
                 order, first = _firsts(grams, spans, found)
-                covered = found[order[~first]]
                 keep = order[first]
+                followed = np.append(~first[1:], False)[first]
+                done = seen.covered(grams[keep], spans[keep], found[keep], followed)
+                covered = np.concatenate([found[order[~first]], found[keep[done]]])
+                keep = keep[~done]
                 grams, spans, found = grams[keep], spans[keep], found[keep]
                 to = ((grams >> np.uint64(7)) % np.uint64(groups)).astype(np.int64)
                 by = np.argsort(to, kind="stable")
                 to, grams, spans, found = to[by], grams[by], spans[by], found[by]
                 cuts = np.flatnonzero(np.diff(to)) + 1
-                bounds = [0, *cuts.tolist(), len(to)]
+                bounds = [0, *cuts.tolist(), len(to)] if len(to) else [0]
                 out = [
                     (int(to[a]), False, grams[a:b].tobytes(), spans[a:b].tobytes(), found[a:b].tobytes())
                     for a, b in zip(bounds, bounds[1:])
                 ]
-                if len(covered):
-                    out.append((int(to[part % len(to)]), True, b"", b"", covered.tobytes()))
+                for a in range(0, len(covered), DEAL):
+                    # From a place that differs by text, so that tasks don't begin at one group.
+                    begin = int(tags[group[0][0]]) + dealt
+                    out.append((begin % groups, True, b"", b"", covered[a : a + DEAL].tobytes()))
+                    dealt += 1
+                if not out:
+                    continue
                 types = (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), types)],
