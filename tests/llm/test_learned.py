@@ -165,6 +165,27 @@ def test_an_unclosed_element_does_not_end_the_page(tag):
     assert [b.linked for b in found] == [0, 4, 0, 0]
 
 
+def test_an_inline_end_tag_ends_no_block():
+    page = (
+        "<span><article><p>one</p></span><p>two</p><a href=x><div>three</div><p>four</a> five</p>"
+        "</b></i><a href=y>six<div>seven</div></article><p>eight</a> nine</p>"
+    )
+    found = html_blocks.blocks(page)
+    assert [b.text for b in found] == ["one", "two", "three", "four five", "six", "seven", "eight nine"]
+    assert [html_extract.own_label(b) for b in found] == [1] * 6 + [0]
+    assert [(b.path.tag, b.path.up) for b in found[:3]] == [("p", "article"), ("p", "article"), ("div", "article")]
+    # The end of a block ends the links in it.
+    assert [b.linked for b in found] == [0, 0, 5, 4, 3, 5, 0]
+
+
+@pytest.mark.parametrize("opening", ["<div class='a'>x", "<div>x</i>", "<x-y>x", "<a href=u>x<div>", "<span>x<div></span>"])
+def test_deep_nesting_takes_time_in_proportion(opening):
+    started = time.process_time()
+    found = html_blocks.blocks(opening * 40_000)
+    assert len(html_blocks.features(found)) >= 39_999
+    assert time.process_time() - started < 10
+
+
 def test_decoding_takes_the_best_of_all_labellings():
     chance = np.random.default_rng(5)
     field = html_extract.Field()

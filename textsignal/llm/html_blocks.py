@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from typing import NamedTuple
 
 #: Features are hashed to so many places.
@@ -51,11 +52,29 @@ NAMED = {"class", "id", "role", "itemprop", "aria-label", "data-role", "data-com
 TOKENS = re.compile(r"[a-z]+")
 
 
+class Path(NamedTuple):
+    """The open elements around a block: the innermost two, and all tags and names. An element's path is
+    made from its parent's, which shares its sets if it adds nothing, so deep nesting costs no more."""
+
+    tag: str
+    up: str
+    tags: frozenset[str]
+    names: frozenset[str]
+
+    def inside(self, tag: str, names: tuple[str, ...]) -> Path:
+        tags = self.tags if tag in self.tags else self.tags | {tag}
+        known = self.names if self.names.issuperset(names) else self.names | set(names)
+        return Path(tag, self.tag, tags, known)
+
+
+NOWHERE = Path("", "", frozenset(), frozenset())
+
+
 class Block(NamedTuple):
-    """Its text, the open elements as (tag, names), and the letters inside links."""
+    """Its text, the open elements, and the letters inside links."""
 
     text: str
-    path: tuple[tuple[str, tuple[str, ...]], ...]
+    path: Path
     linked: int
 
 
@@ -75,26 +94,38 @@ def _names(attributes: str) -> tuple[str, ...]:
 
 
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page with text, in page order."""
+    """The leaf blocks of a page with text, in page order.
+
+    Elements inside a line are no part of the path, and their end tags end no block: of them only
+    open links are followed. The time grows with the page, however deep its elements are nested.
+    """
     made: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[Path] = []
+    n_open: Counter[str] = Counter()
+    # For each open link, the number of blocks around it.
+    links: list[int] = []
     pieces: list[str] = []
     state = {"linked": 0}
 
     def close() -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            path = tuple(x for x in stack if x[0] not in INLINE)
-            made.append(Block(text, path, state["linked"]))
+            made.append(Block(text, stack[-1] if stack else NOWHERE, state["linked"]))
         pieces.clear()
         state["linked"] = 0
 
     def say(text: str) -> None:
         if text:
             pieces.append(text)
-            if any(x[0] == "a" for x in stack[-3:]):
+            if links and links[-1] > len(stack) - 3:
                 state["linked"] += len(text.strip())
 
+    def leave(depth: int) -> None:
+        while len(stack) > depth:
+            n_open[stack.pop().tag] -= 1
+        while links and links[-1] > depth:
+            links.pop()
+
     at, n = 0, len(page)
     while at < n:
         found = TAG.search(page, at)
@@ -110,13 +141,16 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         if ends:
-            if any(x[0] == tag for x in stack):
-                if tag not in INLINE:
-                    close()
-                elif tag in APART:
-                    pieces.append(" ")
-                while stack.pop()[0] != tag:
-                    pass
+            if tag in APART:
+                pieces.append(" ")
+            elif tag == "a" and links:
+                links.pop()
+            elif tag not in INLINE and n_open[tag]:
+                close()
+                depth = len(stack) - 1
+                while stack[depth].tag != tag:
+                    depth -= 1
+                leave(depth)
             continue
         if tag in RAW:
             if not attributes.rstrip().endswith("/"):
@@ -129,21 +163,23 @@ def blocks(page: str) -> list[Block]:
         if tag in INLINE:
             if tag in APART:
                 pieces.append(" ")
-            if tag not in VOID and not (tag in FOREIGN and attributes.rstrip().endswith("/")):
-                stack.append((tag, ()))
+            elif tag == "a":
+                links.append(len(stack))
             continue
         close()
         if tag in VOID:
             continue
         # A block ends an open paragraph; items end their like, up to the list that holds them.
         gone = ENDS.get(tag, set()) | {"p"}
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in gone:
-                del stack[i:]
-                break
-            if stack[i][0] in SCOPES:
-                break
-        stack.append((tag, _names(attributes)))
+        if any(n_open[x] for x in gone):
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i].tag in gone:
+                    leave(i)
+                    break
+                if stack[i].tag in SCOPES:
+                    break
+        stack.append((stack[-1] if stack else NOWHERE).inside(tag, _names(attributes)))
+        n_open[tag] += 1
     close()
     return made
 
@@ -152,7 +188,7 @@ def _place(feature: str) -> int:
     return zlib.crc32(feature.encode()) & (DIMS - 1)
 
 
-_paths: dict[tuple, tuple[int, ...]] = {}
+_paths: dict[Path, tuple[int, ...]] = {}
 _own: dict[str, int] = {}
 #: Words and signs of boilerplate (fixed values).
 CUES = {
@@ -165,14 +201,12 @@ CUES = {
 }
 
 
-def _of_path(path: tuple[tuple[str, tuple[str, ...]], ...]) -> tuple[int, ...]:
+def _of_path(path: Path) -> tuple[int, ...]:
     known = _paths.get(path)
     if known is None:
-        features = ["bias", f"tag {path[-1][0] if path else ''}", f"up {path[-2][0] if len(path) > 1 else ''}"]
-        for tag, names in path:
-            features.append(f"in {tag}")
-            features += [f"name {n}" for n in names]
-        known = tuple({_place(f) for f in features})
+        features = ["bias", f"tag {path.tag}", f"up {path.up}"]
+        features += [f"in {tag}" for tag in path.tags] + [f"name {n}" for n in path.names]
+        known = tuple(sorted({_place(f) for f in features}))
         if len(_paths) > 50_000:
             _paths.clear()
         _paths[path] = known

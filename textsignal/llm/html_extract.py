@@ -86,8 +86,7 @@ AROUND = [
 
 def own_label(block: Block) -> int:
     """1 if the markup puts the block in an article and in nothing that is set apart."""
-    tags = {tag for tag, _ in block.path}
-    names = {n for _, ns in block.path for n in ns}
+    tags, names = block.path.tags, block.path.names
     inside = bool((tags | names) & ARTICLE)
     return int(inside and not tags & ASIDE_TAGS and not names & ASIDE_NAMES)
 
