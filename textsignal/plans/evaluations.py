@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textsignal.operators import evaluation, models, summaries
+from textsignal.operators import evaluation, kept, models, summaries
 from textsignal.plans import inputs
 from textsignal.plans.registry import query
 
@@ -256,6 +256,47 @@ def auc_many_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(found, ["auc_roc", "auc_pr"])
 
 
+@query(f"""
+WITH {inputs.SCORED_ITEMS_SQL},
+cells AS (
+  SELECT CAST(least(1023, greatest(0, floor(label * 1024))) AS INTEGER) AS cell,
+         count(*) FILTER (returned > 0) AS pos, count(*) FILTER (NOT returned > 0) AS neg
+  FROM items GROUP BY 1),
+ranked AS (
+  SELECT *, coalesce(sum(neg) OVER (ORDER BY cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              AS below
+  FROM cells),
+bounds AS (
+  SELECT sum(pos * below) / (sum(pos) * sum(neg))::DOUBLE AS low,
+         sum(pos * (below + neg)) / (sum(pos) * sum(neg))::DOUBLE AS high
+  FROM ranked),
+areas AS ({_areas_sql(_ITEM_CURVE)})
+SELECT round(low, 6) AS auc_low, round(high, 6) AS auc_high, auc_roc,
+       auc_roc BETWEEN round(low, 6) AND round(high, 6) AS enclosed
+FROM bounds, areas""")
+def auc_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of each line number, folded to bounds of the exact area."""
+    items = inputs.scored_items(spark, sf_dir)
+    states = kept.score_states(items, "returned", "label", ["l_linenumber"])
+    bounds = _rounded(kept.area_bounds(states), ["auc_low", "auc_high"])
+    exact = evaluation.areas(items, "returned", "label").select(F.round("auc_roc", 6).alias("auc"))
+    both = bounds.withColumn("auc_roc", exact.scalar())
+    return both.withColumn("enclosed", F.col("auc_roc").between(F.col("auc_low"), F.col("auc_high")))
+
+
+@query("""
+SELECT l_returnflag, count(l_quantity) AS n, round(avg(l_extendedprice), 4) AS mean,
+       round(stddev_samp(l_extendedprice), 4) AS stddev, min(l_extendedprice) AS least,
+       max(l_extendedprice) AS most
+FROM lineitem GROUP BY l_returnflag""")
+def kept_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A state for each day and class, folded over the days."""
+    items = inputs.table(spark, sf_dir, "lineitem").withColumn("day", F.to_date("l_shipdate"))
+    states = kept.value_states(items, ["l_returnflag", "day"], "l_extendedprice")
+    found = kept.folded_values(states, ["l_returnflag"])
+    return found.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
+
+
 @query(f"""
 WITH {inputs.SCORED_DOCUMENTS_SQL}, rates AS (
   SELECT avg(prediction) FILTER (label = 1) AS tpr, avg(1 - prediction) FILTER (label = 0) AS tnr
