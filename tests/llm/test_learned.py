@@ -44,6 +44,24 @@ def test_language_of_odd_texts(documents):
     assert language.predict(documents([]), model).count() == 0
 
 
+def test_languages_whose_rows_share_a_key_are_learned(documents):
+    chance = random.Random(6)
+
+    def said(words):
+        return " ".join(chance.choices(words.split(), k=12))
+
+    rows = [(None, said("the house with and over"), "en") for _ in range(1500)]
+    rows += [(i, said("das haus mit und wir"), "de") for i in range(1500)]
+    rows += [(7, said("la maison avec et nous"), "fr") for _ in range(1500)]
+    rows += [(8, "una casa con ella", "es")] * 1500
+    model = language.fit(documents(rows), per_language=50)
+    assert sorted(set(model.languages)) == ["de", "en", "es", "fr"]
+    again = language.fit(documents(rows[::-1]).repartition(7), per_language=50)
+    assert again.languages == model.languages and np.array_equal(again.centroids, model.centroids)
+    asked = documents([(1, "the house over", None), (2, "nous avec la maison", None), (3, "una casa", None)])
+    assert {r.doc_id: r.lang_pred for r in language.predict(asked, model).collect()} == {1: "en", 2: "fr", 3: "es"}
+
+
 def test_counts_do_not_depend_on_pieces(monkeypatch):
     text = " ".join("abcdé fg"[i % 5 :] for i in range(3000))
     whole = language.counts([text])[0]

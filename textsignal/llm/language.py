@@ -7,7 +7,7 @@ centroid with the largest cosine. It is rejected if it has no letter, or if it i
 that centroid than (practically) all texts of its language were in training.
 
 Training reads a bounded sample, at most `PER_LANGUAGE` labelled texts of each language, chosen by a
-hash of the text's key. The model has languages x `CLUSTERS` x `DIMS` numbers. Prediction reads all
+hash of the text and its key; repeated rows count once. The model has languages x `CLUSTERS` x `DIMS` numbers. Prediction reads all
 texts whole, in batches, and shuffles nothing.
 """
 
@@ -112,20 +112,30 @@ class Model:
     idf: np.ndarray
 
 
-def uniform(key: Column, salt: str) -> Column:
-    """A number in [0, 1) that depends on the key alone."""
-    hashed = F.xxhash64(F.lit(salt), F.coalesce(key.cast("string"), F.lit("")))
+def uniform(salt: str, *of: Column) -> Column:
+    """A number in [0, 1) that depends on the given columns alone."""
+    hashed = F.xxhash64(F.lit(salt), *[F.coalesce(c.cast("string"), F.lit("")) for c in of])
     return (hashed.cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
 
 
-def labelled_sample(rows: DataFrame, label: str, key: str, most: int, salt: str) -> DataFrame:
-    """At most `most` rows of each label, those whose keys have the least hashes."""
-    known = rows.where(F.col(label).isNotNull()).withColumn("_u", uniform(F.col(key), salt))
-    sizes = stored(known.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n")))
+def labelled_sample(
+    rows: DataFrame, label: str, key: str, most: int, salt: str, text: str | None = None
+) -> DataFrame:
+    """At most `most` rows of each label, those whose keys have the least hashes.
+
+    With `text`, those whose keys and texts have, and repeated rows are one: so a label whose rows
+    share a key, or are null there, has its sample, too.
+    """
+    named = [F.col(key)] if text is None else [F.col(key), F.col(text)]
+    known = rows.where(F.col(label).isNotNull()).withColumn("_u", uniform(salt, *named))
+    n = F.count(F.lit(1)) if text is None else F.approx_count_distinct("_u", 0.02)
+    sizes = stored(known.groupBy(F.col(label).alias("_label")).agg(n.alias("_n")))
     # About a tenth more than wanted come near the window, however large the table is.
     near = known.join(measured_broadcast(sizes, 64), F.col(label) == F.col("_label")).where(
         F.col("_u") * F.col("_n") < most * 1.1 + 30
     )
+    if text is not None:
+        near = near.dropDuplicates([label, "_u"])
     place = F.row_number().over(Window.partitionBy(label).orderBy("_u", key))
     return near.withColumn("_row", place).where(F.col("_row") <= most).drop(
         "_u", "_n", "_label", "_row"
@@ -170,7 +180,7 @@ def fit(
     """Centroids of the languages of the labelled rows; rows without text or label don't count."""
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"), docs[label].alias("label"))
     known = rows.where(F.col("text").rlike(r"\p{L}"))
-    sample = stored(labelled_sample(known, "label", "key", per_language, "language"))
+    sample = stored(labelled_sample(known, "label", "key", per_language, "language", "text"))
     frequencies = sample.select("text").mapInPandas(_document_frequencies, "n long, df binary")
     df, n = np.zeros(DIMS), 0
     for row in frequencies.toLocalIterator():
