@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from helpers import rows
+from helpers import plan_of, rows
 from textsignal.operators.heavy_words import heavy_words, task_counters
 from textsignal.operators.subjects import subject_mentions, token_subjects
 from textsignal.operators.vocabulary import top_vocab
@@ -50,6 +50,20 @@ def test_five_thousand_subjects_and_none(spark):
         subject_mentions(df, ["id"], "t", ["a"], "fuzzy")
 
 
+def test_mentions_send_no_tokens(spark):
+    data = [(i % 7 or None, ["ab", None, f"x{i}", "cab", "ab"]) for i in range(1200)]
+    df = spark.createDataFrame(data, SCHEMA).coalesce(1)
+    found = subject_mentions(df, ["id"], "t", ["ab", "b", "x1"])
+    expected = Counter()
+    for key, tokens in data:
+        for s in ("ab", "b", "x1"):
+            expected[key, s] += sum(s in t for t in tokens if t is not None)
+    assert {(r.id, r.subject): r.n for r in found.collect()} == {k: n for k, n in expected.items() if n}
+    assert {r.first_position for r in found.collect() if r.subject == "ab"} == {1}
+    plan = plan_of(found)
+    assert "Join" not in plan and "Generate" not in plan
+
+
 @pytest.mark.parametrize("capacity", [1, 3, 20, 1000])
 def test_heavy_words_equal_exact_counts(spark, capacity):
     rng = random.Random(capacity)
