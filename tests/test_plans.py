@@ -8,7 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from helpers import plan_of
+from helpers import plan_of, rows
+from textsignal.plans import inputs
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
@@ -64,6 +65,14 @@ def test_windows_over_tokens_run_per_range(spark):
     assert windows and all("_group" in w for w in windows)
 
 
+def test_segments_are_cut_once_for_queries_that_read_them_again(spark):
+    plan = plan_of(inputs.stored_segments(spark, SF))
+    assert "regexp_replace" not in plan and "Window" not in plan
+    assert rows(inputs.stored_segments(spark, SF)) == rows(inputs.segments(spark, SF))
+    for name in ("factor_mixture", "heavy_vocabulary", "topic_mixture", "topic_shares_add_up"):
+        assert "regexp_replace" not in plan_of(QUERIES[name](spark, SF))
+
+
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns == ["source", "n_segments", "n_rewh", "n_tion"]

@@ -320,7 +320,7 @@ def top_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_VOCAB_SQL} SELECT word, n, documents, rank FROM vocab")
 def heavy_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal to `top_vocabulary`, with counters whose number does not grow with the words."""
-    return heavy_words(inputs.segments(spark, sf_dir), "segment")
+    return heavy_words(inputs.stored_segments(spark, sf_dir), "segment")
 
 
 @query(f"""
