@@ -3,10 +3,11 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from helpers import plan_of
-from textsignal.operators import blocks, features
+from textsignal.operators import blocks, features, word_vectors
 
 
 def test_counted_embedding_moves_no_row_a_token(spark, monkeypatch):
@@ -36,3 +37,22 @@ def test_one_text_larger_than_a_step(spark, monkeypatch):
     vectors = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [3.0, 0.0])], "word string, v array<double>")
     found = blocks.vector_sums(df, ["k"], "t", vectors, 2)
     assert sorted(tuple(r) for r in found.collect()) == [(1, 21, pytest.approx([28.0, 14.0])), (2, 1, [1.0, 2.0])]
+
+
+def test_words_that_stand_alike_get_like_vectors_in_any_order(spark):
+    rng = random.Random(5)
+    data = [([rng.choice(w) for w in ([("a", "b"), ("x",), ("c", "d")] if i % 2 else [("e",), ("y", "z"), ("f",)]) for _ in range(8)],) for i in range(400)]
+    df = spark.createDataFrame([*data, ([],), (None,), ([None, "a"],)], "t array<string>")
+    made = [features.fit_embedding(part, "t", "e", size=8, num_partitions=2) for part in (df.repartition(1), df.repartition(5))]
+    first, second = ({r.word: np.array(r.vector) for r in m.getVectors().collect()} for m in made)
+    assert set(first) == set("abcdefxyz") and all(first[w] == pytest.approx(second[w]) for w in first)
+    cosine = lambda u, v: first[u] @ first[v] / np.linalg.norm(first[u]) / np.linalg.norm(first[v])
+    assert cosine("a", "b") > cosine("a", "y") and cosine("y", "z") > cosine("z", "b")
+    assert "BroadcastExchange" not in plan_of(made[0].table)
+
+
+def test_codes_are_no_beginnings_of_others(spark):
+    counts = spark.createDataFrame([(f"w{i}", 1 + 1000 // (i + 1)) for i in range(300)], "word string, n long")
+    found = word_vectors.word_codes(counts).collect()
+    codes = [f"{r.code:b}".zfill(r.bits) for r in found]
+    assert len(set(codes)) == 300 and not any(a != b and b.startswith(a) for a in codes for b in codes)
