@@ -117,6 +117,18 @@ def test_searches(spark, vectors):
     assert params["maxDepth"] == "2" and params["numTrees"] in ("3", "5")
 
 
+def test_a_forest_search_keeps_the_nodes_of_rows_and_grows_the_same_trees(spark, monkeypatch):
+    points = [(Vectors.dense([i % 7, i * 31 % 101, i * i % 53]), int(i * 17 % 19 > 8), i // 2) for i in range(120)]
+    df = spark.createDataFrame(points, ["features", "binary_label", "k"])
+    found = []
+    for name, own, caches in [(None, {}, False), ("folder", {}, True), ("folder", {"cacheNodeIds": False}, False)]:
+        monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self, name=name: name)
+        search = models.search_forest(df, grid={"numTrees": [3], "maxDepth": [8]}, folds=2, key=["k"], **own)
+        assert search.getEstimator().getCacheNodeIds() is caches
+        found.append((search.avgMetrics, search.stdMetrics, search.bestModel.toDebugString.split("\n", 1)[1]))
+    assert found[0] == found[1] == found[2]
+
+
 def test_evaluators(spark, vectors):
     train, test = hash_split(vectors, ["vec_id"], [0.7, 0.3])
     scored = models.fit_classifier(train).transform(test)
