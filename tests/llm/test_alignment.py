@@ -6,13 +6,15 @@ from collections import Counter, defaultdict
 
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, decoders
 
-from textsignal.llm import alignment, queries
+from textsignal.llm import alignment, queries, store
 
 A_PATH = public_tokenizers.path("byte_bpe_50k.json")
 B_PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -176,3 +178,20 @@ def test_query(spark):
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256",
     ]
     assert rows_of(found) == plain(short)
+
+
+def test_wide_rows_are_written_and_handed_over_few_at_a_time(spark):
+    rows = spark.range(40, numPartitions=1).select(F.expr("transform(sequence(1, 100000), i -> xxhash64(id, i))").alias("x"))
+    found = store.stored(rows, wide=True)
+    metadata = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in found.inputFiles()]
+    assert sum(m.num_rows for m in metadata) == 40
+    assert max(m.row_group(i).num_rows for m in metadata for i in range(m.num_row_groups)) <= 12
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int32())})
+
+    before = spark.conf.get(store.BATCH_ROWS)
+    with store.rows_a_batch(spark, 2):
+        assert max(r.n for r in found.mapInArrow(sizes, "n int").collect()) <= 2
+    assert spark.conf.get(store.BATCH_ROWS) == before

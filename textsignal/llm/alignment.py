@@ -14,6 +14,9 @@ A pair of tokens of a group is a link.
    chunks, one row a chunk and pair, not one a link.
 4. A chunk's documents add up the counts of their links.
 
+Chunks are written, read and handed over a few at a time, so that a task's memory depends on the
+size of a chunk and not on that of its share of the texts.
+
 Null and empty texts, and those whose tokens of A or B don't make up exactly the space and the text,
 have no tokens: all numbers are 0 and the digest is empty. Special tokens in a text are plain text.
 Repeated rows are documents of their own, with null keys, too. Other columns are not read. A text
@@ -37,10 +40,14 @@ from pyspark.sql import functions as F
 from textsignal.llm.common import measured_broadcast
 from textsignal.llm.grammar import _runs as runs
 from textsignal.llm.pieces import Pieces, kept, slices
-from textsignal.llm.store import stored
+from textsignal.llm.store import rows_a_batch, stored
 
 #: Bytes of text of a chunk.
 CHUNK_BYTES = 2 << 20
+#: Pieces that a process remembers for each vocabulary; it holds two.
+KNOWN_PIECES = 1 << 19
+#: Chunks that Spark hands to Python at once.
+CHUNKS_AT_ONCE = 2
 #: Links of a group above which they are made from its distinct ids.
 LARGE_GROUP = 256
 
@@ -66,6 +73,7 @@ class ByteLevel(Pieces):
     """Vocabulary A: its ids of texts, and the bytes of its tokens."""
 
     kind = np.int32
+    most = KNOWN_PIECES
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -118,6 +126,7 @@ class PieceModel(Pieces):
     """
 
     kind = np.int32
+    most = KNOWN_PIECES
 
     def __init__(self, path: str) -> None:
         from sentencepiece import SentencePieceProcessor
@@ -321,7 +330,7 @@ def align(
     `n_best` counts the links whose pair has the highest count of its A id, ties included;
     `count_sum` adds up the counts of all links.
     """
-    made = stored(chunks(docs, a_path, b_path, key, text))
+    made = stored(chunks(docs, a_path, b_path, key, text), wide=True)
     counts = stored(pair_counts(made))
     asked = made.select("chunk", F.posexplode("pairs").alias("place", "pair"))
     answers = (
@@ -359,4 +368,6 @@ def align(
                 )
 
     schema = "key long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-    return joined.mapInArrow(run, schema).withColumnRenamed("key", key)
+    # A row is a chunk of megabytes; without the bound a batch would be a task's whole share.
+    with rows_a_batch(docs.sparkSession, CHUNKS_AT_ONCE):
+        return stored(joined.mapInArrow(run, schema).withColumnRenamed("key", key))

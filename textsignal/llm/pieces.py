@@ -23,6 +23,7 @@ class Pieces:
     """Known pieces with their ids. A subclass has `kind` (type of an id) and `learn`."""
 
     kind: type
+    most = KNOWN
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
@@ -45,7 +46,7 @@ class Pieces:
     def looked_up(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of lists of pieces in a row, and the number of ids of each list."""
         coded = lists.flatten().dictionary_encode()
-        if len(self.known) > KNOWN:
+        if len(self.known) > self.most:
             self.forget()
         asked = coded.dictionary.to_pylist()
         self.learn(pa.array([piece for piece in asked if piece not in self.known], pa.string()))
