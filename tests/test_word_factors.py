@@ -119,3 +119,13 @@ def test_equal_to_sql(spark):
         names = [c[0] for c in found.description]
         expected = sorted(found.fetchall(), key=repr)
     assert rows(QUERIES[name](spark, SF).select(*names)) == expected
+
+
+def test_a_pair_is_written_once_and_slices_are_the_whole(spark, texts, monkeypatch):
+    words, matrix = dense()
+    whole = rows(factor_words(texts, "t", size=2, rounds=1, window=2).columns.select("word"))
+    monkeypatch.setattr(word_factors, "SLICE_ROWS", 25)
+    found = word_factors.shifted_ratios(texts, "t", window=2)
+    assert found.count() == (matrix > 0).sum()
+    assert spark.read.parquet(*found.inputFiles()).count() == (np.triu(matrix) > 0).sum()
+    assert rows(factor_words(texts, "t", size=2, rounds=1, window=2).columns.select("word")) == whole
